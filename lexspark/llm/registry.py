@@ -4,15 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import language_id, simhash
+from lexspark.llm import decontaminate, language_id, mixing, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_sharding": sharding.op2_sharding,
         "op6_language_id": language_id.op6_language_id,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+        "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
+        "op9_source_mixing": mixing.op9_source_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_language_id": language_id.SQL}
+    return {"op6_language_id": language_id.SQL, "op8_benchmark_decontamination": decontaminate.SQL}
