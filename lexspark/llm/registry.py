@@ -4,12 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import decontaminate, language_id, mixing, sharding, simhash
+from lexspark.llm import decontaminate, language_id, line_dedup, mixing, sharding, simhash, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_sharding": sharding.op2_sharding,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op6_language_id": language_id.op6_language_id,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
@@ -18,4 +20,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_language_id": language_id.SQL, "op8_benchmark_decontamination": decontaminate.SQL}
+    return {
+        "op1_substring_dedup": substring_dedup.SQL,
+        "op4_line_dedup": line_dedup.SQL,
+        "op6_language_id": language_id.SQL,
+        "op8_benchmark_decontamination": decontaminate.SQL,
+    }
