@@ -24,9 +24,11 @@ SEGMENTS, BITS = 8, 184
 #: Segments that are joined in one key.
 PAIRS = ((0, 1), (2, 3), (4, 5), (6, 7), (0, 2), (4, 6))
 #: Fingerprints that differ in at most this many of the 184 bits are near duplicates.
-NEAR = 33
+NEAR = 30
 #: Members under one key that are compared each with each at once; larger sets are compared group by group.
-ALL_PAIRS = 64
+ALL_PAIRS = 4096
+#: Shards of keys for each shuffle partition, so that hashing them to partitions evens out.
+SPREAD = 8
 
 _WORD = np.dtype("u8")
 
@@ -167,6 +169,17 @@ def near_pairs(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second ones, and so on."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def whole(raw: bytes, kind) -> np.ndarray:
+    """The numbers that planes() took apart."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A star for each component of the edges: each node and the smallest one."""
     nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -210,12 +223,14 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
             for at in range(0, len(ids), 4096):
                 k, r = search_keys(np.ascontiguousarray(fp[at : at + 4096]), code)
                 shard = (mix(k.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
+                order = np.lexsort((k, shard))
                 k, r, shard = k[order], r[order], shard[order]
                 begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(k) else np.zeros(0, np.int64)
                 ends = np.append(begin[1:], len(k))
                 w, i = fp[at : at + 4096][r], ids[at : at + 4096][r]
-                pack = [pa.array([x[b:e].tobytes() for b, e in zip(begin, ends)], pa.binary()) for x in (k, i, w)]
+                # keys as differences, and bytes of equal weight together: the shuffle's compression then finds the zeros
+                forms = (lambda x: planes(np.diff(x, prepend=x.dtype.type(0))), planes, lambda x: x.tobytes())
+                pack = [pa.array([f(x[b:e]) for b, e in zip(begin, ends)], pa.binary()) for f, x in zip(forms, (k, i, w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
                 yield pa.RecordBatch.from_arrays([pa.array(shard[begin]), *pack], ["shard", "k", "i", "w"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,9 +240,14 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
                 x += batch.column(c).to_pylist()
         if not got[0]:
             return
-        k = np.frombuffer(b"".join(got[0]), np.int32)
+        k = np.concatenate([np.cumsum(whole(x, np.int32), dtype=np.int32) for x in got[0]])
+        i = np.concatenate([whole(x, np.int64) for x in got[1]])
+        w = np.zeros((len(k), 24), np.uint8)
+        w[:, :23] = np.frombuffer(b"".join(got[2]), np.uint8).reshape(-1, 23)
+        got.clear()
+        w = w.view(_WORD)
         order = np.argsort(k, kind="stable")
-        k, i, w = k[order], np.frombuffer(b"".join(got[1]), np.int64), np.frombuffer(b"".join(got[2]), np.uint64).reshape(-1, 3)
+        k = k[order]
         same = np.zeros(len(k), bool)  # a key with one member needs no comparison
         same[1:] = k[1:] == k[:-1]
         same[:-1] |= same[1:]
@@ -239,7 +259,7 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
     packed = reps.select("id", "f0", "f1", "f2").mapInArrow(emit, "shard long, k binary, i binary, w binary")
-    return packed.repartition(shards, "shard").mapInArrow(compare, "a long, b long")
+    return packed.repartition(shards // SPREAD, "shard").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -249,11 +269,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     group. Rows that repeat a key are one document. Equal fingerprints (exact copies among them) need no search.
     """
     spark = docs.sparkSession
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = SPREAD * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     members = written(_members(docs, key, text), "fingerprints")
     reps = written(members.groupBy("f0", "f1", "f2").agg(F.min("id").alias("id")), "fingerprint-first")
     # the columns lie in one file per task: spread the key work over all cores
-    edges = _candidates(reps.repartition(shards), shards)
+    edges = _candidates(reps.repartition(shards // SPREAD), shards)
     equal = members.join(reps.withColumnRenamed("id", "b"), ["f0", "f1", "f2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     found = components(edges.unionByName(equal))
     return found.select(F.col("node").alias(key), F.col("root").alias("duplicate_of"))
