@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexspark.llm import decontaminate, language_id, line_dedup, mixing, sharding, simhash, substring_dedup
+from lexspark.llm import decontaminate, edit_embedding, language_id, line_dedup, mixing, sharding, simhash, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -12,10 +12,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_sharding": sharding.op2_sharding,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_document_fingerprints": edit_embedding.op5_document_fingerprints,
         "op6_language_id": language_id.op6_language_id,
         "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
         "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
         "op9_source_mixing": mixing.op9_source_mixing,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
