@@ -172,11 +172,14 @@ def mixed(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, slot
     picked = runs.mapInArrow(place, "shard long, slot long, s long, epoch long, block long")
     labels = spark.createDataFrame([(i, s) for i, s in enumerate(names)], "s long, source string")
     # a block's index in its source: the blocks of the partitions before its own, and its place there
-    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.join(labels, counts["source"].eqNullSafe(labels["source"])).select("s", "part", F.coalesce(F.sum("n").over(upto.partitionBy("s")), F.lit(0)).alias("base"))
-    numbered = blocks.join(labels, blocks["source"].eqNullSafe(labels["source"])).select(labels["s"], blocks["source"], "part", "nth", "doc", "text", "tokens").join(base, ["s", "part"]).select("s", (F.col("base") + F.col("nth")).alias("block"), "source", "doc", "text", "tokens")
-    # the slots are narrow: they are hashed, and the texts stream past them unsorted
-    both = numbered.join(picked.hint("shuffle_hash"), ["s", "block"])
+    upto = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    named = counts.join(F.broadcast(labels), counts["source"].eqNullSafe(labels["source"])).select("s", labels["source"], "part", "n")
+    base = named.select("s", "source", "part", "n", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
+    index = base.select("s", F.col("source").alias("src"), F.col("part").alias("p"), "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")).select("s", "src", "p", "i", (F.col("base") + F.col("i")).alias("block"))
+    slot = picked.join(index, ["s", "block"])
+    # the slots are narrow: they are hashed, and the texts, which move only here, stream past them unsorted
+    here = blocks["source"].eqNullSafe(slot["src"]) & (blocks["part"] == slot["p"]) & (blocks["nth"] == slot["i"])
+    both = blocks.join(slot.hint("shuffle_hash"), here)
     return both.select("shard", "slot", "source", "epoch", "block", F.col("doc").alias(key), "text", "tokens")
 
 

@@ -73,6 +73,22 @@ def _row(kind: int, cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([shard, pa.array([kind] * len(shard), pa.int32()), *(none + rest if kind else rest + none)], _NAMES)
 
 
+def joined(found: DataFrame, shards: int, key: str) -> DataFrame:
+    """(key, start, end) from packed intervals (kind 1): brought together by document, and merged."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [[], [], []]
+        for batch in batches:
+            for x, c in zip(got, (3, 4, 5)):
+                x += batch.column(c).to_pylist()
+        d, a, b = (np.frombuffer(b"".join(x), t).astype(np.int64) for x, t in zip(got, (np.int64, np.int32, np.int32)))
+        d, a, b = merge(d, a, b)
+        for at in range(0, len(d), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (d, a, b)], [key, "start", "end"])
+
+    return found.repartition(shards, "shard").mapInArrow(join, f"`{key}` long, start long, end long")
+
+
 def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, end): the maximal intervals of tokens [start, end) that windows of ``width`` tokens cover which occur at least twice.
 
@@ -138,19 +154,9 @@ def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: st
             d1, a1, b1 = merge(d[hit], a[hit].astype(np.int64), a[hit].astype(np.int64) + width)
             yield _row(1, _split((mix(d1.astype(np.uint64)) % np.uint64(shards)).astype(np.int64), d1, a1.astype(np.int32), b1.astype(np.int32)))
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[], [], []]
-        for batch in batches:
-            for x, c in zip(got, (3, 4, 5)):
-                x += batch.column(c).to_pylist()
-        d, a, b = (np.frombuffer(b"".join(x), t).astype(np.int64) for x, t in zip(got, (np.int64, np.int32, np.int32)))
-        d, a, b = merge(d, a, b)
-        for at in range(0, len(d), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (d, a, b)], [key, "start", "end"])
-
     packed = docs.select(key, text).where(f"`{key}` is not null").mapInArrow(gather, _PACKED)
     found = packed.repartition(shards, "shard").mapInArrow(count, _PACKED)
-    return found.repartition(shards, "shard").mapInArrow(join, f"`{key}` long, start long, end long")
+    return joined(found, shards, key)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
