@@ -1,0 +1,20 @@
+"""Near copies by edit distance against brute force."""
+
+from lexspark.llm.edit_embedding import NEAR, edit_distance, near_copies
+
+DIR = "/root/testdata/sf0.01"
+
+
+def test_groups_as_by_brute_force(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").where("length(text) between 1 and 1200").orderBy("doc_id").limit(300).select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"].encode()) for r in docs.collect())
+    root = {i: i for i, _ in rows}
+    for x, (i, a) in enumerate(rows):
+        for j, b in rows[x + 1 :]:
+            most = int(max(len(a), len(b)) * NEAR + 1e-9)
+            if root[i] != root[j] and abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {k: new if v == old else v for k, v in root.items()}
+    want = {(k, v) for k, v in root.items() if k != v}
+    got = {(r["doc_id"], r["duplicate_of"]) for r in near_copies(docs).collect()}
+    assert want and len(got & want) >= 0.9 * len(want) and got <= want
