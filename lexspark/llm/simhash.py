@@ -21,10 +21,10 @@ from lexspark.llm.storage import written
 from lexspark.llm.textnp import LOWER, PUNCT, mix, pieces, span_hashes, spans, utf8
 
 SEGMENTS, BITS = 8, 184
-#: Segments that are joined in one key.
-PAIRS = ((0, 1), (2, 3), (4, 5), (6, 7), (0, 2), (4, 6))
+#: Segments that are joined in one key: all pairs within either half, so of any three segments two are joined.
+PAIRS = tuple((i, j) for h in (0, 4) for i in range(h, h + 4) for j in range(i + 1, h + 4))
 #: Fingerprints that differ in at most this many of the 184 bits are near duplicates.
-NEAR = 30
+NEAR = 33
 #: Members under one key that are compared each with each at once; larger sets are compared group by group.
 ALL_PAIRS = 4096
 #: Shards of keys for each shuffle partition, so that hashing them to partitions evens out.
@@ -216,34 +216,41 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
     """Edges among fingerprints' first documents: keys, packed by shard, go through one shuffle and are compared there."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = golay()
+        code, lead = golay(), np.array([i for i, _ in PAIRS])
         for batch in batches:
             ids = batch.column(0).to_numpy()
             fp = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (1, 2, 3)], 1)
             for at in range(0, len(ids), 4096):
                 k, r = search_keys(np.ascontiguousarray(fp[at : at + 4096]), code)
-                shard = (mix(k.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                # keys with one first segment and codeword go together, so that a document's fingerprint goes there once
+                shard = (mix(lead[k >> 24].astype(np.uint64) << np.uint64(12) | (k >> 12 & 4095).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
                 order = np.lexsort((k, shard))
                 k, r, shard = k[order], r[order], shard[order]
                 begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(k) else np.zeros(0, np.int64)
                 ends = np.append(begin[1:], len(k))
-                w, i = fp[at : at + 4096][r], ids[at : at + 4096][r]
+                sent, nth = np.unique(shard << 12 | r, return_inverse=True)
+                first = np.searchsorted(sent >> 12, shard[begin])
+                own = (nth - np.repeat(first, ends - begin)).astype(np.uint16)
+                w, i = fp[at : at + 4096][sent & 4095], ids[at : at + 4096][sent & 4095]
                 # keys as differences, and bytes of equal weight together: the shuffle's compression then finds the zeros
-                forms = (lambda x: planes(np.diff(x, prepend=x.dtype.type(0))), planes, lambda x: x.tobytes())
-                pack = [pa.array([f(x[b:e]) for b, e in zip(begin, ends)], pa.binary()) for f, x in zip(forms, (k, i, w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[begin]), *pack], ["shard", "k", "i", "w"])
+                difference = lambda x: planes(np.diff(x, prepend=x.dtype.type(0)))
+                of_keys = [pa.array([f(x[b:e]) for b, e in zip(begin, ends)], pa.binary()) for f, x in ((difference, k), (planes, own))]
+                of_documents = [pa.array([f(x[b:e]) for b, e in zip(first, np.append(first[1:], len(sent)))], pa.binary()) for f, x in ((planes, i), (lambda x: x.tobytes(), w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[begin]), *of_keys, *of_documents], ["shard", "k", "own", "i", "w"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[list[bytes]] = [[], [], []]
+        got: list[list[bytes]] = [[], [], [], []]
         for batch in batches:
-            for x, c in zip(got, (1, 2, 3)):
+            for x, c in zip(got, (1, 2, 3, 4)):
                 x += batch.column(c).to_pylist()
         if not got[0]:
             return
         k = np.concatenate([np.cumsum(whole(x, np.int32), dtype=np.int32) for x in got[0]])
-        i = np.concatenate([whole(x, np.int64) for x in got[1]])
-        w = np.zeros((len(k), 24), np.uint8)
-        w[:, :23] = np.frombuffer(b"".join(got[2]), np.uint8).reshape(-1, 23)
+        before = np.cumsum([0] + [len(x) // 8 for x in got[2]])
+        own = np.concatenate([whole(x, np.uint16) + b for x, b in zip(got[1], before)])
+        i = np.concatenate([whole(x, np.int64) for x in got[2]])
+        w = np.zeros((len(i), 24), np.uint8)
+        w[:, :23] = np.frombuffer(b"".join(got[3]), np.uint8).reshape(-1, 23)
         got.clear()
         w = w.view(_WORD)
         order = np.argsort(k, kind="stable")
@@ -252,13 +259,13 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
         same[1:] = k[1:] == k[:-1]
         same[:-1] |= same[1:]
         k, order = k[same], order[same]
-        i, w = i[order], w[order]
+        i, w = i[own[order]], w[own[order]]
         a, b = near_pairs(k, w)
         if len(a):
             x, y = _forest(i[a], i[b])
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
-    packed = reps.select("id", "f0", "f1", "f2").mapInArrow(emit, "shard long, k binary, i binary, w binary")
+    packed = reps.select("id", "f0", "f1", "f2").mapInArrow(emit, "shard long, k binary, own binary, i binary, w binary")
     return packed.repartition(shards // SPREAD, "shard").mapInArrow(compare, "a long, b long")
 
 

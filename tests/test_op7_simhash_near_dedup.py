@@ -1,0 +1,35 @@
+"""Near duplicates by SimHash: recall of the search at its threshold, and the groups, against brute force."""
+
+import numpy as np
+
+from lexspark.llm.simhash import BITS, NEAR, apart, fingerprints, golay, near_duplicates, search_keys
+from lexspark.llm.textnp import utf8
+
+
+def test_recall_at_the_threshold():
+    random = np.random.default_rng(1)
+    a = np.zeros((1000, 24), np.uint8)
+    a[:, :23] = random.integers(0, 256, (1000, 23))
+    b = a.copy()
+    for row in b:
+        for bit in random.choice(BITS, NEAR, replace=False):
+            row[bit // 8] ^= 128 >> bit % 8
+    code = golay()
+    got = [set(zip(*(x.tolist() for x in search_keys(w.view(np.uint64), code)))) for w in (a, b)]
+    assert NEAR >= 33 and len({row for _, row in got[0] & got[1]}) >= 900
+
+
+def test_groups_as_by_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = docs.where("doc_id is not null").toArrow()
+    ids = rows["doc_id"].to_numpy()
+    fp, any_ = fingerprints(*utf8(rows["text"]))
+    ids, fp = ids[any_], fp[any_]
+    root = ids.copy()
+    for i in range(len(ids)):
+        close = np.flatnonzero(apart(fp, i, np.arange(len(ids))) <= NEAR)
+        joined = np.isin(root, root[close])
+        root[joined] = root[joined].min()
+    want = set(zip(ids[root != ids].tolist(), root[root != ids].tolist()))
+    got = {(r["doc_id"], r["duplicate_of"]) for r in near_duplicates(docs).collect()}
+    assert want and len({x for x, _ in want} & {x for x, _ in got}) >= 0.9 * len(want) and {x for x, _ in got} <= {x for x, _ in want}
