@@ -70,16 +70,17 @@ class WuManber:
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[dict[str, list[int]], int]]:
-    """Test strings and the items that have them, in portions of about SCAN_BYTES, read from the table one partition at a time."""
+    """Test strings and the items that have them, in portions of about SCAN_BYTES, read from the table in order of items; none is divided."""
     owners: dict[str, list[int]] = {}
-    size = 0
-    for row in benchmark.select(F.col(item).cast("long"), text).where(f"`{item}` is not null and `{text}` is not null").toLocalIterator():
+    size, last = 0, None
+    for row in benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").orderBy("i").toLocalIterator():
+        if size > SCAN_BYTES and row[0] != last:
+            yield owners, size
+            owners, size = {}, 0
+        last = row[0]
         for s in set(test_strings(row[1])):
             size += len(s)
             owners.setdefault(s, []).append(row[0])
-        if size > SCAN_BYTES:
-            yield owners, size
-            owners, size = {}, 0
     yield owners, size
 
 
