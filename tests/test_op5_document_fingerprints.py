@@ -1,8 +1,44 @@
-"""Near copies by edit distance against brute force."""
+"""Near copies by edit distance against brute force, short and long."""
+
+import numpy as np
 
 from lexspark.llm.edit_embedding import NEAR, edit_distance, near_copies
 
 DIR = "/root/testdata/sf0.01"
+SIZES = (60, 200, 1000, 3000, 10_000, 30_000)
+
+
+def edited(text: str, edits: int, random) -> str:
+    """So many insertions, deletions and replacements, spread over the text."""
+    out = list(text)
+    for i in sorted(random.choice(len(text), edits, replace=False), reverse=True):
+        c = chr(97 + random.integers(26))
+        kind = random.integers(3)
+        out[i : i + 1] = [c, out[i]] if kind == 0 else [] if kind == 1 else [c]
+    return "".join(out)
+
+
+def distance(a: str, b: str) -> float:
+    most = max(len(a.encode()), len(b.encode()))
+    return edit_distance(a.encode(), b.encode(), most) / most
+
+
+def test_edited_texts_are_found_at_every_length(spark):
+    random = np.random.default_rng(3)
+    long = [r["text"] for r in spark.read.parquet(f"{DIR}/documents.parquet").where("text is not null").orderBy("doc_id").collect()]
+    long = "".join(c for c in " ".join(long) if c.isascii())
+    rows, near = [], {}
+    for size in SIZES:
+        for _ in range(20):
+            at = int(random.integers(len(long) - size))
+            text = long[at : at + size]
+            other = edited(text, max(1, int(size * NEAR * 0.9)), random)
+            if text != other and distance(text, other) <= NEAR:
+                near.setdefault(size, set()).add(len(rows) + 1)
+            rows += [(len(rows), text), (len(rows) + 1, other)]
+    found = {r["doc_id"] for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for size in SIZES:
+        assert len(near[size] & found) >= 0.9 * len(near[size]), size
 
 
 def test_groups_as_by_brute_force(spark):
