@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 
+from lexspark.llm import substring_dedup
 from lexspark.llm.substring_dedup import _NAMES, _PACKED, _row, _split, joined, merge
 from lexspark.llm.textnp import SPACE, mix, pieces, powers, span_hashes, spans, utf8
 
@@ -234,4 +235,7 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+#: A match of WINDOW tokens or more is a run of windows that occur at least twice.
+SQL = substring_dedup.SQL
+
 register_pickle_by_value(sys.modules[__name__])
