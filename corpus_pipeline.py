@@ -43,7 +43,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", shards),
 ]
 
-#: Fingerprints, permutations and bin packing have no SQL; tests hold the stages against brute-force versions.
+#: Fingerprints, permutations and bin packing have no SQL; so far only near-dedup and scans of decontamination have tests.
 ORACLE_SQL = None
 
 
