@@ -1,4 +1,11 @@
-"""Toxic documents: a support vector machine on a subsequence string kernel with Nystroem landmarks."""
+"""Toxic documents: a support vector machine on a subsequence string kernel with Nystroem landmarks, over the windows of sentences.
+
+A sentence ends at . ! ? or a line's end. Its windows are its words, the pairs of neighbouring words read as one, and both
+without accents, so an insult may be cut by a space. The kernel counts common subsequences, whose gaps cost a decay, so it may
+hold inserted characters; it is scaled to 1 for equal texts and taken, for each landmark, of the best beginning of a window, up to
+twice as long as the landmark, that starts with the same character. A sentence scores as its best window, a document as its best sentence. Labels are of documents:
+every sentence of a clean document is clean, and of a toxic one those that hold what tells toxic documents from others.
+"""
 
 import sys
 from collections.abc import Iterator
@@ -12,242 +19,402 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.textnp import LOWER, PUNCT, SPACE, pieces, span_hashes, spans, utf8
 
-#: Labelled documents that are trained on (the bound of the training sample), and landmarks of either kind.
-SAMPLE, LANDMARKS = 3000, 12
-#: Length of the subsequences, decay for each character that one spans, bytes of a word that are compared at once.
-ORDER, DECAY, LONG = 3, 0.9, 32
+#: Labelled documents that are trained on (the bound of the training sample).
+SAMPLE = 3000
+#: Length of the subsequences, decay for each character that one spans, bytes of a window that are compared at once.
+ORDER, DECAY, LONG = 3, 0.8, 24
+#: Power of the scaled kernel (a kernel too), which sets what is spelt alike apart from what is merely similar.
+POWER = 3
+#: A beginning of a window is compared with a landmark if it has this share of its different characters; the kernel counts as 0 otherwise.
+LETTERS = 0.75
 #: Where the threshold lies between what clean training documents score at most (but for a thousandth of them) and 1, the margin of toxic sentences.
 THRESHOLD = 0.15
-#: Log-likelihood ratio from which a word is held to belong to toxic documents, and its least share of the largest such ratio
-#: (copies of a document with a wrong label raise the ratio of its words, but not so far).
-SURE, SHARE = 8.0, 0.25
-
+#: Kernel value with a toxic landmark from which windows of clean documents are landmarks too, the most frequent first, as many as toxic ones.
+HARD = 0.3
+#: Weight of a document's window on the wrong side of the margin.
+COST = 10.0
+#: Kernel value from which clean documents' neighbouring words, or words without accents, spell a landmark.
+SPELT = 0.5
+#: Log-likelihood ratio from which a word or its beginning is held to tell toxic documents, and bytes of such a beginning.
+SURE, STEM = 24.0, (4, 12)
+#: Toxic documents for each clean one that have such a word, more than this.
+RATE = 15
+
+_ENDS = np.zeros(256, bool)
+_ENDS[[10, 13, 33, 46, 63]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_SPOKEN = np.arange(256, dtype=np.uint8)
+_SPOKEN[[ord(c) for c in "013457@"]] = [ord(c) for c in "oieasta"]
+#: The plain letter of the second byte of U+00C0 to U+00FF.
+_PLAIN = np.arange(256, dtype=np.uint8)
+for _from, _to in zip(range(0x80, 0xC0), "aaaaaaaceeeeiiiidnooooo*ouuuuytsaaaaaaaceeeeiiiidnooooo/ouuuuyty"):
+    _PLAIN[_from] = ord(_to)
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes in lower case, each word's start and end in them, and its row.
 
-    White space separates words; ASCII punctuation is dropped wherever it stands, and single characters that follow each
-    other are one word, so "i.d.i" and "i d i" are "idi".
-    """
+@dataclass
+class Windows:
+    """Windows of texts: bytes, each window's start and end in them, its row, and its sentence's number (over all rows)."""
+
+    low: np.ndarray
+    s: np.ndarray
+    e: np.ndarray
+    row: np.ndarray
+    sentence: np.ndarray
+    mask: np.ndarray
+    kind: np.ndarray  # 0 a word, 1 two words, 2 without accents
+
+
+def masks(low: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The characters of each of the spans, which follow each other without a gap, as bits (some characters share one)."""
+    if not len(s):
+        return np.zeros(0, np.uint64)
+    return np.bitwise_or.reduceat(np.uint64(1) << (low & 63).astype(np.uint64), s)
+
+
+def windows(data: np.ndarray, offs: np.ndarray) -> Windows:
+    """White space separates words; ASCII punctuation is dropped, digits beside letters are read as the letters they look like,
+    and single characters that follow each other are one word, so "i.d.i" and "1 d i" are "idi"."""
+    n = len(data)
+    if not n:
+        z = np.zeros(0, np.int64)
+        return Windows(data, z, z, z, z, np.zeros(0, np.uint64), z)
+    letter = _LETTER[data]
+    beside = np.zeros(n, bool)
+    beside[1:] = letter[:-1]
+    beside[:-1] |= letter[1:]
+    data = np.where(beside, _SPOKEN[data], data)
     row = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
+    # a sentence's end counts where white space or the text's end follows, so that dots within a word are no ends
+    after = np.ones(n, bool)
+    after[:-1] = SPACE[data[1:]] | (row[1:] != row[:-1])
+    sentence = np.cumsum(_ENDS[data] & (after | (data == 10)))
     keep = SPACE[data] | ~PUNCT[data]
-    low, row = LOWER[data[keep]], row[keep]
+    low, row, sentence = LOWER[data[keep]], row[keep], sentence[keep]
     at = np.concatenate(([0], np.cumsum(keep)))[offs]
     s, e, _ = spans(low, at, SPACE)
-    join = np.flatnonzero((e[1:] - s[1:] == 1) & (e[:-1] - s[:-1] == 1) & (row[s[1:]] == row[s[:-1]])) if len(s) else s
-    if len(join):
-        fill = np.zeros(len(low) + 1, np.int64)
-        np.add.at(fill, e[join], 1)
-        np.add.at(fill, s[join + 1], -1)
-        keep = np.cumsum(fill)[:-1] == 0
-        low, row = low[keep], row[keep]
-        at = np.concatenate(([0], np.cumsum(keep)))[at]
-        s, e, _ = spans(low, at, SPACE)
-    return low, s, e, row[s].astype(np.int64)
-
-
-def raw_kernel(text: np.ndarray, size: np.ndarray, marks: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The kernel of each word with each landmark: over common subsequences of ORDER bytes, DECAY to the power of the bytes both span.
-
-    Words and landmarks are rows of bytes, filled up at the end by 0 and 255; the dynamic program runs over all of them at once.
+    if not len(s):
+        return Windows(low, s, s, s, s, np.zeros(0, np.uint64), s)
+    row, sentence = row[s].astype(np.int64), sentence[s]
+    solid = ~SPACE[low]
+    place = np.concatenate(([0], np.cumsum(solid)))
+    low, s, e = low[solid], place[s], place[e]
+    single = e - s == 1
+    joins = np.flatnonzero(single[1:] & single[:-1] & (row[1:] == row[:-1])) + 1
+    first = np.ones(len(s), bool)
+    first[joins] = False
+    begin = np.flatnonzero(first)
+    s, e, row, sentence = s[begin], np.append(s[begin[1:]], e[-1]), row[begin], sentence[begin]
+    sentence = sentence + row  # rows are sentences of their own
+    # two neighbours of a sentence
+    pair = np.flatnonzero((row[1:] == row[:-1]) & (sentence[1:] == sentence[:-1]) & (e[1:] - s[:-1] <= LONG))
+    mask = masks(low, s, e)
+    # words with accents once more without
+    lead = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] < 0xC0)
+    lead = np.append(lead, False)
+    plain = low.copy()
+    plain[1:][lead[:-1]] = _PLAIN[low[1:][lead[:-1]]]
+    place = np.concatenate(([0], np.cumsum(~lead)))
+    plain, ps, pe = plain[~lead], place[s], place[e]
+    other = np.flatnonzero(pe - ps < e - s)
+    base = len(low)
+    pm = masks(plain, ps, pe)
+    return Windows(np.concatenate([low, plain]), np.concatenate([s, s[pair], ps[other] + base]), np.concatenate([e, e[pair + 1], pe[other] + base]),
+                   np.concatenate([row, row[pair], row[other]]), np.concatenate([sentence, sentence[pair], sentence[other]]), np.concatenate([mask, mask[pair] | mask[pair + 1], pm[other]]), np.repeat([0, 1, 2], [len(s), len(pair), len(other)]))
+
+
+def table(items: list[bytes], fill: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    size = np.array([len(x) for x in items], np.int64)
+    out = np.full((len(items), max(int(size.max(initial=0)), width)), fill, np.uint8)
+    for i, x in enumerate(items):
+        out[i, : len(x)] = np.frombuffer(x, np.uint8)
+    return out, size
+
+
+def string_kernel(text: np.ndarray, size: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Of each pair of rows of bytes: the sum over common subsequences of ORDER bytes of DECAY to the power of the bytes both span.
+
+    Texts are filled up by 0 behind their size, marks by 255; the dynamic program runs over all pairs at once.
     """
-    n, m = len(text), len(marks)
-    width = int(length.max(initial=0))
+    n, width = marks.shape
     order = np.argsort(-size, kind="stable")
-    text, size = text[order], size[order]
+    text, size, marks = text[order], size[order], np.ascontiguousarray(marks[order].T)
     decay = np.float32(DECAY)
-    out = np.zeros((n, m), np.float32)
-    # inner[i][j]: subsequences of i bytes within the first j bytes of the landmark, weighted up to the ends of both
-    inner = [np.zeros((width + 1, n, m), np.float32) for _ in range(ORDER)]
-    inner[0][:] = 1
+    step = np.arange(width)
+    # what place j' of the mark adds to the places from j on
+    spread = np.where(step[:, None] >= step, decay ** (step[:, None] - step), 0).astype(np.float32) * (decay * decay)
+    out = np.zeros(n, np.float32)
+    inner = [np.ones((width + 1, n), np.float32)] + [np.zeros((width + 1, n), np.float32) for _ in range(ORDER - 1)]
     for x in range(int(size.max(initial=0))):
-        k = int(np.searchsorted(-size, -x, "left"))  # words longer than x
-        same = (text[:k, x, None, None] == marks[None, :, :width]).transpose(2, 0, 1)
-        for j in range(width):
-            hit = same[j] * (decay * decay)
-            out[:k] += hit * inner[ORDER - 1][j, :k]
+        k = int(np.searchsorted(-size, -x, "left"))  # texts longer than x
+        same = (marks[:, :k] == text[:k, x]).astype(np.float32)
+        out[:k] += (decay * decay) * (same * inner[ORDER - 1][:-1, :k]).sum(0)
         for i in range(ORDER - 1, 0, -1):
-            run = np.zeros((k, m), np.float32)
-            now = inner[i]
-            now[:, :k] *= decay
-            for j in range(width):
-                run *= decay
-                run += same[j] * (decay * decay) * inner[i - 1][j, :k]
-                now[j + 1, :k] += run
+            inner[i][:, :k] *= decay
+            inner[i][1:, :k] += spread @ (same * inner[i - 1][:-1, :k])
     back = np.empty_like(out)
     back[order] = out
     return back
 
 
-def own_kernel(text: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The kernel of each word with itself."""
-    out = np.zeros(len(text), np.float32)
-    decay = np.float32(DECAY)
-    for w in np.unique(size):
-        if w < ORDER:
-            continue
-        own = np.flatnonzero(size == w)
-        t = text[own, :w]
-        inner = [np.ones((w + 1, len(own)), np.float32)] + [np.zeros((w + 1, len(own)), np.float32) for _ in range(ORDER - 1)]
-        total = np.zeros(len(own), np.float32)
-        for x in range(w):
-            same = (t[:, x, None] == t).T * (decay * decay)
-            total += (same * inner[ORDER - 1][:-1]).sum(0)
-            for i in range(ORDER - 1, 0, -1):
-                run = np.zeros(len(own), np.float32)
-                inner[i] *= decay
-                for j in range(w):
-                    run = run * decay + same[j] * inner[i - 1][j]
-                    inner[i][j + 1] += run
-        out[own] = total
-    return out
-
-
-def table(items: list[bytes], fill: int) -> tuple[np.ndarray, np.ndarray]:
-    size = np.array([len(x) for x in items], np.int64)
-    out = np.full((len(items), max(int(size.max(initial=0)), 1)), fill, np.uint8)
-    for i, x in enumerate(items):
-        out[i, : len(x)] = np.frombuffer(x, np.uint8)
-    return out, size
-
-
 class Kernel:
-    """Kernel values, scaled to 1 for equal words, with the landmarks, or with weights their score; a word is computed once."""
+    """Scores of windows; each different window is computed once, until MOST are known."""
 
-    MOST = 500_000
+    MOST = 1_000_000
 
-    def __init__(self, marks: list[bytes], weights: np.ndarray | None = None, bias: float = 0.0):
-        self.weights, self.bias = weights, bias
+    def __init__(self, marks: list[bytes], weights: np.ndarray | None = None, bias: float = 0.0, allow: np.ndarray | None = None):
+        self.weights, self.bias, self.allow = weights, np.float32(bias), allow
         self.marks, self.length = table(marks, 255)
-        self.root = np.sqrt(np.maximum(own_kernel(self.marks, self.length), 1e-30))
-        self.known: dict[int, int] = {}
-        self.rows = np.zeros((0, len(marks) if weights is None else 1), np.float32)
-
-    def compute(self, text: np.ndarray, size: np.ndarray) -> np.ndarray:
+        self.self_ = np.maximum(string_kernel(np.where(self.marks == 255, 0, self.marks), self.length, self.marks), 1e-30)
+        own = np.zeros(len(marks), np.uint64)
+        for i, x in enumerate(marks):
+            own[i] = np.bitwise_or.reduce(np.uint64(1) << (np.frombuffer(x, np.uint8) & 63).astype(np.uint64))
+        self.mask, self.least = own, np.ceil(LETTERS * np.bitwise_count(own)).astype(np.uint8)
+        self.known: dict[int, float] = {}
+
+    def like(self, w: Windows) -> np.ndarray:
+        """The windows that start as some landmark does and have enough of its characters."""
+        out = np.zeros(len(w.s), bool)
+        first = w.low[w.s]
+        for c in np.unique(self.marks[:, 0]):
+            own = np.flatnonzero(first == c)
+            mask, hit = w.mask[own], np.zeros(len(own), bool)
+            for j in np.flatnonzero(self.marks[:, 0] == c):
+                hit |= np.bitwise_count(mask & self.mask[j]) >= self.least[j]
+            out[own] = hit
+        return np.flatnonzero(out)
+
+    def rows(self, low: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """The highest scaled kernel of the beginnings of each window with each landmark. Beginnings have at most LONG bytes."""
+        size = np.minimum(e - s, LONG)
+        wide = np.arange(LONG)
+        text = np.where(wide < size[:, None], low[np.minimum(s[:, None] + wide, max(len(low) - 1, 0))], 0).astype(np.uint8)
+        # the characters of each beginning
+        mask = np.bitwise_or.accumulate(np.where(text > 0, np.uint64(1) << (text & 63).astype(np.uint64), np.uint64(0)), axis=1)
         out = np.zeros((len(text), len(self.marks)), np.float32)
-        for at in range(0, len(text), 8192):
-            t, z = text[at : at + 8192], size[at : at + 8192]
-            own = own_kernel(t, z)
-            out[at : at + 8192] = raw_kernel(t, z, self.marks, self.length) / (np.sqrt(np.maximum(own, 1e-30))[:, None] * self.root)
-            out[at : at + 8192][own <= 0] = 0
+        own = {}
+        for j, m in enumerate(self.length.tolist()):
+            row = np.flatnonzero((text[:, 0] == self.marks[j, 0]) & (np.bitwise_count(mask[:, -1] & self.mask[j]) >= self.least[j]))
+            for most in sorted({m, m + 2, min(2 * m - 1, LONG)}):
+                z = np.minimum(most, size[row])
+                ok = (z >= ORDER) & ((z == most) | (most == m)) & (np.bitwise_count(mask[row, z - 1] & self.mask[j]) >= self.least[j])
+                for i in np.array_split(row[ok], -(-int(ok.sum()) // 16384) or 1):
+                    n = np.minimum(most, size[i])
+                    t = np.where(np.arange(most) < n[:, None], text[i, :most], 0)
+                    k = string_kernel(t, n, np.broadcast_to(self.marks[j, :m], (len(t), m)))
+                    if most not in own:
+                        own[most] = np.full(len(text), np.nan, np.float32)
+                    new = np.isnan(own[most][i])
+                    own[most][i[new]] = string_kernel(t[new], n[new], np.where(t[new] == 0, 255, t[new]))
+                    k /= np.sqrt(np.maximum(own[most][i], 1e-30) * self.self_[j])
+                    out[i, j] = np.maximum(out[i, j], k**POWER)
         return out
 
-    def of(self, low: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        """A row for each word. A word above LONG bytes has the largest values of its stretches of LONG bytes, each half over the last one."""
-        h, first, index = np.unique(span_hashes(low, s, e), return_index=True, return_inverse=True)
+    def scores(self, w: Windows) -> np.ndarray:
+        """Score of each window; a window unlike all landmarks has the bias."""
+        out = np.full(len(w.s), self.bias, np.float32)
+        i = self.like(w)
+        if not len(i):
+            return out
+        h, first, index = np.unique(names(w)[i], return_index=True, return_inverse=True)
         if len(self.known) > self.MOST:
-            self.known, self.rows = {}, self.rows[:0]
-        place = np.array([self.known.get(x, -1) for x in h.tolist()], np.int64)
-        new = np.flatnonzero(place < 0)
+            self.known = {}
+        value = np.array([self.known.get(x, np.nan) for x in h.tolist()], np.float32)
+        new = np.flatnonzero(np.isnan(value))
         if len(new):
-            begin, size = s[first[new]], e[first[new]] - s[first[new]]
-            parts = np.maximum(1, -(-(size - LONG) // (LONG // 2)) + 1)
-            word = np.repeat(np.arange(len(new)), parts)
-            nth = np.arange(len(word)) - np.repeat(np.cumsum(parts) - parts, parts)
-            begin, size = begin[word] + nth * (LONG // 2), np.minimum(LONG, size[word] - nth * (LONG // 2))
-            at = begin[:, None] + np.arange(LONG)
-            text = np.where(np.arange(LONG) < size[:, None], low[np.minimum(at, len(low) - 1)], 0).astype(np.uint8)
-            rows = self.compute(text, size)
-            if self.weights is not None:
-                rows = (rows @ self.weights + np.float32(self.bias))[:, None]
-            rows = np.maximum.reduceat(rows, np.cumsum(parts) - parts, axis=0)
-            place[new] = len(self.rows) + np.arange(len(new))
-            self.known.update(zip(h[new].tolist(), place[new].tolist()))
-            self.rows = np.concatenate([self.rows, rows])
-        return self.rows[place][index]
+            j = i[first[new]]
+            got = (self.rows(w.low, w.s[j], w.e[j]) * self.allow[w.kind[j]]) @ self.weights + self.bias
+            value[new] = got
+            self.known.update(zip(h[new].tolist(), got.tolist()))
+        out[i] = value[index]
+        return out
+
+
+def names(w: Windows) -> np.ndarray:
+    """A hash of each window and its kind."""
+    return span_hashes(w.low, w.s, w.e) + w.kind.astype(np.uint64)
 
 
 @dataclass
 class Model:
-    """Score of a word: weights times its kernel values with the landmarks, plus bias; a text is toxic if a word of it is above 0."""
+    """Score of a window: weights times its kernel values with the landmarks, plus bias; a sentence is toxic if a window of it is above 0.
+
+    `allow` says by kind of window which landmarks count: one that two neighbouring words of clean documents spell counts for words alone.
+    """
 
     marks: list[bytes]
     weights: np.ndarray
     bias: float
+    allow: np.ndarray
 
 
-def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """Weights of a linear soft-margin machine (the last for a constant feature), by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, alpha, q = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(1)
-    random = np.random.default_rng(7)
+def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Weights of a linear soft-margin machine with squared loss (the last for a constant feature), by Newton's method on its primal."""
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    w = np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        return w @ w / 2 + (cost * np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+
     for _ in range(rounds):
-        moved = 0.0
-        for i in random.permutation(len(x)):
-            new = min(max(alpha[i] - (y[i] * (w @ x[i]) - 1) / q[i], 0.0), cost[i])
-            if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
-                moved = max(moved, abs(new - alpha[i]))
-                alpha[i] = new
-        if moved < 1e-3:
+        short = 1 - y * (x @ w)
+        own = short > 0
+        xo, co = x[own], cost[own]
+        slope = w - 2 * xo.T @ (co * y[own] * short[own])
+        step = np.linalg.solve(np.eye(len(w)) + 2 * (xo * co[:, None]).T @ xo, slope)
+        rate, now = 1.0, loss(w)
+        while rate > 1e-6 and loss(w - rate * step) > now:
+            rate /= 2
+        w = w - rate * step
+        if np.abs(slope).max() < 1e-6 * max(1.0, now):
             break
     return w
 
 
+def likelihood(bad: np.ndarray, good: np.ndarray, a: float, b: float) -> np.ndarray:
+    """Signed log-likelihood ratio of a word's share among a toxic documents against that among b others."""
+    every, part = bad + good, a / (a + b)
+    term = lambda n, expected: n * np.log(np.maximum(n, 1e-9) / np.maximum(expected, 1e-9))
+    z = term(bad, every * part) + term(good, every * (1 - part)) + term(a - bad, (a + b - every) * part + 1e-9) + term(b - good, (a + b - every) * (1 - part) + 1e-9)
+    return 2 * z * np.sign(bad / a - good / b)
+
+
+def telling(w: Windows, word: np.ndarray, toxic: np.ndarray, once: np.ndarray) -> list[bytes]:
+    """Words and beginnings of words that tell toxic documents: the sure ones among all toxic documents, then, one after another, the
+    surest among the toxic documents that have none of those before.
+
+    Sure is a log-likelihood ratio of at least SURE where more than RATE times as many toxic as clean documents have the word; there is no other
+    limit to their number. Near copies count once. A beginning stands for the longer ones.
+    """
+    s, e, row = w.s[word], w.e[word], w.row[word]
+    stems: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    for size in range(STEM[0], STEM[1] + 1):
+        i = np.flatnonzero(e - s >= size)
+        i = i[(s[i] + size == e[i]) | (w.low[np.minimum(s[i] + size, len(w.low) - 1)] & 0xC0 != 0x80)]  # no character is cut
+        stems.append((span_hashes(w.low, s[i], s[i] + size), row[i], s[i], s[i] + size))
+    i = np.flatnonzero((e - s > STEM[1]) & (e - s <= LONG))
+    stems.append((span_hashes(w.low, s[i], e[i]), row[i], s[i], e[i]))
+    h, row, s, e = (np.concatenate(x) for x in zip(*stems))
+    ok = once[row]
+    h, row, s, e = h[ok], row[ok], s[ok], e[ok]
+    h, first, index = np.unique(h, return_index=True, return_inverse=True)
+    # stems that no more than two toxic documents have can't be sure
+    pair = np.unique(index * len(toxic) + row)
+    stem, doc = pair // len(toxic), pair % len(toxic)
+    good = np.bincount(stem, toxic[doc] == 0, len(h))
+    tox = toxic[doc] > 0
+    stem, doc = stem[tox], doc[tox]
+    open_ = (toxic > 0) & once
+    b = float((once & (toxic == 0)).sum())
+    name = lambda i: w.low[s[first[i]] : e[first[i]]].tobytes()
+    size, out = (e - s)[first], []
+
+    def surest(bad: np.ndarray, a: float) -> tuple[np.ndarray, np.ndarray]:
+        """Stems that are sure, the surest first; of equal ones the longest, which all forms share."""
+        cand = np.flatnonzero((bad >= 3) & (bad > RATE * good))
+        z = likelihood(bad[cand], good[cand], a, b)
+        cand, z = cand[z >= SURE], z[z >= SURE]
+        order = np.lexsort((h[cand], -size[cand], -np.round(z, 6)))
+        return cand[order], z[order]
+
+    def whole(i: int, cand: np.ndarray, z: np.ndarray) -> bytes:
+        """The longest stem that begins so and is nearly as sure: the word itself rather than what it shares with its misspellings."""
+        x, least = name(i), 0.6 * z[cand == i][0]
+        return max((y for y in (name(c) for c in cand[z >= least]) if y.startswith(x)), key=len)
+
+    cand, z = surest(np.bincount(stem, minlength=len(h)), float(open_.sum()))
+    for i in cand:
+        if not any(m in name(i) or m.startswith(name(i)) for m in out):
+            out.append(whole(i, cand, z))
+    known = np.flatnonzero(np.isin(h, [int(v) for m in out for v in span_hashes(np.frombuffer(m, np.uint8), np.array([0]), np.array([len(m)]))]))
+    open_[doc[np.isin(stem, known)]] = False
+    while open_.any():
+        cand, z = surest(np.bincount(stem, open_[doc], len(h)), float(open_.sum()))
+        if not len(cand):
+            break
+        out.append(whole(cand[0], cand, z))
+        open_[doc[stem == cand[0]]] = False
+    return list(dict.fromkeys(out))
+
+
+def disguises(mark: bytes) -> list[bytes]:
+    """A landmark with one or two other letters put in, and with one between all of its characters."""
+    out = [mark]
+    for i in range(1, len(mark)):
+        out += [mark[:i] + c + mark[i:] for c in (b"x", b"q")]
+        out += [mark[:i] + b"x" + mark[i:j] + b"q" + mark[j:] for j in range(i + 1, len(mark))]
+    return out + [b"x".join(mark[i : i + 1] for i in range(len(mark)))]
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    """A model from labelled documents; one that finds nothing if a class is missing.
+    """A model from labelled documents; one that finds nothing if a class is missing or nothing tells them apart.
 
-    Landmarks are the words that most tell toxic documents from others, and the most common other words. The label of a
-    toxic document holds for some word of it: in turn, its highest-scored word and those close to a toxic landmark are taken
-    as the toxic ones (if they are surely more frequent in toxic documents, and four of five documents that have them are toxic) and the machine is trained again. All words of other
-    documents count as not toxic.
+    Landmarks are what telling() finds, and as many windows of clean documents that are most like them. Windows of toxic documents that hold a landmark, and disguised landmarks, are the toxic
+    examples, all windows of clean documents the others.
     """
-    col = pa.array(texts, pa.string())
-    low, s, e, row = words(*utf8(col))
-    h, first, index, often = np.unique(span_hashes(low, s, e), return_index=True, return_inverse=True, return_counts=True)
-    pair = np.unique(np.stack([row, index], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
+    toxic = np.asarray(toxic, np.int64)
+    none = Model([], np.zeros(0, np.float32), -1.0, np.ones((3, 0), bool))
+    w = windows(*utf8(pa.array(texts, pa.string())))
+    if not len(w.s) or not toxic.any() or toxic.all():
+        return none
+    h = span_hashes(w.low, w.s, w.e)
     # near copies of a document share their long words, mostly also the one with the smallest hash: one of them counts
-    long = (e - s)[first] >= 9
+    long = np.flatnonzero((w.e - w.s >= 9) & (w.e <= len(w.low)))
     least = np.full(len(toxic), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, pair[long[pair[:, 1]], 0], h[pair[long[pair[:, 1]], 1]])
+    np.minimum.at(least, w.row[long], h[long])
     once = least == np.iinfo(np.uint64).max
     once[np.unique(least, return_index=True)[1]] = True
-    own = pair[once[pair[:, 0]]]
-    bad = np.bincount(own[:, 1], toxic[own[:, 0]], len(h))
-    good = np.bincount(own[:, 1], minlength=len(h)) - bad
-    a, b = toxic[once].sum(), (1 - toxic[once]).sum()
-    if not a or not b or not len(h):
-        return Model([], np.zeros(0), -1.0)
-    # log-likelihood ratio of the word's share among toxic documents against that among others, signed
-    every, part = bad + good, a / (a + b)
-    term = lambda n, expected: n * np.log(np.maximum(n, 1e-9) / np.maximum(expected, 1e-9))
-    z = term(bad, every * part) + term(good, every * (1 - part)) + term(a - bad, (a + b - every) * part + 1e-9) + term(b - good, (a + b - every) * (1 - part) + 1e-9)
-    z *= np.sign(bad / a - good / b)
-    sure = max(SURE, SHARE * z.max())
-    size = e[first] - s[first]
-    usable = (size >= ORDER) & (size <= LONG)
-    toxic_marks = [i for i in np.lexsort((h, -z)) if usable[i] and bad[i] > max(2, 4 * good[i]) and z[i] > sure][:LANDMARKS]
-    common = [i for i in np.lexsort((h, -often)) if usable[i] and i not in toxic_marks and z[i] < sure][:LANDMARKS]
-    if not toxic_marks:
-        return Model([], np.zeros(0), -1.0)
-    marks = [low[s[first[i]] : e[first[i]]].tobytes() for i in toxic_marks + common]
+    marks = telling(w, np.flatnonzero(w.kind == 0), toxic, once)
+    if not marks:
+        return none
+    h, first, index = np.unique(names(w), return_index=True, return_inverse=True)
+    pair = np.unique(index * len(toxic) + w.row)
+    bad = np.bincount(pair // len(toxic), toxic[pair % len(toxic)], len(h))
+    good = np.bincount(pair // len(toxic), toxic[pair % len(toxic)] == 0, len(h))
+    kernel = Kernel(marks)
+    near = np.unique(index[kernel.like(w)])
+    rows = kernel.rows(w.low, w.s[first[near]], w.e[first[near]])
+    kind, clean = w.kind[first[near]], good[near] > 0
+    allow = np.ones((3, len(marks)), bool)
+    for i in (1, 2):
+        allow[i] = rows[clean & (kind == i)].max(0, initial=0) < SPELT
+    rows *= allow[kind]
+    close = rows.max(1, initial=0)
+    hard = np.flatnonzero(clean & (close >= HARD) & (bad[near] <= RATE * good[near]))
+    hard = hard[np.lexsort((h[near][hard], -close[hard] * good[near][hard]))][: len(marks)]
+    hard = [w.low[w.s[i] : min(w.e[i], w.s[i] + LONG)].tobytes() for i in first[near][hard]]
+    marks = marks + [x for x in dict.fromkeys(hard) if x not in marks]
+    toxics = rows.shape[1]
     kernel = Kernel(marks)
-    k = kernel.of(low, s[first], e[first])
-    gram = kernel.compute(np.pad(np.where(kernel.marks == 255, 0, kernel.marks), ((0, 0), (0, LONG - kernel.marks.shape[1]))), kernel.length)
-    value, vector = np.linalg.eigh((gram + gram.T) / 2)
-    whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    x = k @ whiten
-    like = k[:, : len(toxic_marks)].max(1).astype(float)
-    clean = np.flatnonzero(good > 0)
-    # most words are like no landmark and like each other: the ones nearest to a toxic landmark, the most common, and some of the rest
-    clean = np.unique(np.concatenate([clean[np.argsort(-like[clean], kind="stable")[:3000]], clean[np.argsort(-good[clean], kind="stable")[:1000]], clean[:: max(1, len(clean) // 1000)]]))
-    score, w = like, np.zeros(x.shape[1] + 1)
-    at, word = pair[:, 0], pair[:, 1]
-    for _ in range(3):
-        order = np.lexsort((-score[word], at))
-        lead = order[np.append(True, at[order][1:] != at[order][:-1])]
-        witness = np.union1d(word[lead[toxic[at[lead]] > 0]], np.flatnonzero((like >= 0.8) & (bad > 0)))
-        witness = witness[(z[witness] > sure) & (bad[witness] > 4 * good[witness])]
-        use = np.concatenate([witness, clean])
-        # a witness stands for all toxic documents that have it
-        cost = np.where(np.arange(len(use)) < len(witness), np.maximum(1, np.minimum(bad[use], 50)), 1.0)
-        w = svm(x[use], np.where(np.arange(len(use)) < len(witness), 1.0, -1.0), cost)
-        score = x @ w[:-1] + w[-1]
-    best = np.full(len(toxic), -np.inf)
-    np.maximum.at(best, at, score[word])
-    best = np.sort(best[(toxic == 0) & np.isfinite(best)])
-    least = best[-1 - len(best) // 1000] if len(best) else 0.0
-    return Model(marks, (whiten @ w[:-1]).astype(np.float32), float(w[-1] - (least + THRESHOLD * (1 - least) if least < 1 else 0.0)))
+    near = np.unique(index[kernel.like(w)])
+    rows = kernel.rows(w.low, w.s[first[near]], w.e[first[near]])
+    kind, clean = w.kind[first[near]], good[near] > 0
+    allow = np.hstack([allow, np.ones((3, len(marks) - toxics), bool)])
+    rows *= allow[kind]
+    width = max(len(x) for x in marks)
+    gram = np.stack([string_kernel(np.repeat(table([x], 0, width)[0], len(marks), 0), np.full(len(marks), len(x)), kernel.marks) for x in marks])
+    gram = (gram / np.sqrt(kernel.self_[:, None] * kernel.self_)) ** POWER
+    value, vector = np.linalg.eigh((gram + gram.T).astype(np.float64) / 2)
+    whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
+    witness = (rows[:, :toxics].max(1, initial=0) >= 0.999) & (bad[near] > RATE * good[near])
+    clean &= ~witness
+    made, size = table([x for m in marks[:toxics] for x in disguises(m)], 0, LONG)
+    at = np.arange(len(made)) * made.shape[1]
+    forms = kernel.rows(made.ravel(), at, at + np.minimum(size, LONG))
+    x = np.concatenate([rows[witness], forms, rows[clean], np.zeros((1, len(marks)), np.float32)])
+    y = np.concatenate([np.ones(witness.sum() + len(forms)), -np.ones(clean.sum() + 1)])
+    # a window counts as often as documents have it
+    cost = COST * np.concatenate([bad[near][witness], np.ones(len(forms)), good[near][clean], [1.0]])
+    v = svm(x @ whiten, y, cost)
+    weights, bias = (whiten @ v[:-1]).astype(np.float32), float(v[-1])
+    # the threshold lies above what all but a thousandth of the clean documents reach, but not above the margin, where no toxic sentence would be left
+    each = np.full(len(h), bias)
+    each[near] = rows @ weights + bias
+    score = np.full(len(toxic), -np.inf)
+    np.maximum.at(score, w.row, each[index])
+    best = np.sort(score[(toxic == 0) & np.isfinite(score)])
+    most = float(best[-1 - len(best) // 1000]) if len(best) else 0.0
+    return Model(marks, weights, bias - min(most + THRESHOLD * max(1 - most, 0.2), 1.0), allow)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
@@ -268,21 +435,20 @@ def toxic_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: st
 
     Whole texts are scored. Null and empty texts are not toxic; rows that repeat each give a row; a null key stays.
     """
-    marks, weights, bias = model.marks, model.weights, model.bias
+    marks, weights, bias, allow = model.marks, model.weights, model.bias, model.allow
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kernel = Kernel(marks, weights, bias) if marks else None
+        kernel = Kernel(marks, weights, bias, allow) if marks else None
         for batch in batches:
             for part in pieces(batch, text, 1 << 20):
                 score = np.full(part.num_rows, -np.inf)
-                low, s, e, row = words(*utf8(part.column(1)))
-                if kernel and len(s):
-                    begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                    score[row[begin]] = np.maximum.reduceat(kernel.of(low, s, e)[:, 0], begin)
+                w = windows(*utf8(part.column(1)))
+                if kernel and len(w.s):
+                    np.maximum.at(score, w.row, kernel.scores(w))
                 hit = np.flatnonzero(score > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(score[hit])], [key, "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(hit)), pa.array(score[hit])], ["key", "score"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, score double")
+    return docs.select(key, text).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, score double").withColumnRenamed("key", key)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
