@@ -7,11 +7,15 @@ import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 #: Words in a test string; an item with fewer words is one test string as a whole.
 WORDS = 13
 #: Characters of a block of the shift table, and of the prefix that tells strings of one suffix apart.
 BLOCK, HEAD = 6, 4
+#: Lengths from which test strings are of the next class.
+SHORT = (10, 32)
 #: Bytes of test strings that one scan of the documents searches at once; more are searched in further scans.
 SCAN_BYTES = 64 << 20
 
@@ -30,7 +34,7 @@ def test_strings(item: str | None, words: int = WORDS) -> list[str]:
 class WuManber:
     """Finds which of the strings occur in a text.
 
-    The search window is as long as the shortest string. The block that ends it tells from ``shift`` how far the window can
+    The search window is as long as the shortest string (Finder makes a search for each class of lengths). The block that ends it tells from ``shift`` how far the window can
     move without missing a string; where it can't, ``bucket`` names the strings whose window ends in that block, their first
     characters are compared, and then the whole strings.
     """
@@ -69,11 +73,28 @@ class WuManber:
         return found
 
 
+class Finder:
+    """A search for each class of lengths, so that one short string doesn't shorten the window of all others."""
+
+    def __init__(self, strings: list[str]):
+        self.strings = sorted(set(strings))
+        classes: list[list[int]] = [[], [], []]
+        for i, s in enumerate(self.strings):
+            classes[(len(s) >= SHORT[0]) + (len(s) >= SHORT[1])].append(i)
+        self.parts = [(ids, WuManber([self.strings[i] for i in ids])) for ids in classes if ids]
+
+    def find(self, text: str) -> set[int]:
+        return {ids[i] for ids, part in self.parts for i in part.find(text)}
+
+    def any(self, text: str) -> bool:
+        return any(part.find(text) for _, part in self.parts)
+
+
 def _items(benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[dict[str, list[int]], int]]:
     """Test strings and the items that have them, in portions of about SCAN_BYTES, read from the table in order of items; none is divided."""
     owners: dict[str, list[int]] = {}
     size, last = 0, None
-    for row in benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").orderBy("i").toLocalIterator():
+    for row in benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").orderBy("i").toLocalIterator():
         if size > SCAN_BYTES and row[0] != last:
             yield owners, size
             owners, size = {}, 0
@@ -84,11 +105,11 @@ def _items(benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[dict[st
     yield owners, size
 
 
-def _search(docs: DataFrame, owners: dict[str, list[int]], key: str, text: str, item: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(owners)
+def _search(docs: DataFrame, owners: dict[str, list], key: str, text: str, item: str, kind: DataType) -> DataFrame:
+    shared, arrow = docs.sparkSession.sparkContext.broadcast(owners), to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = WuManber(list(shared.value))
+        finder = Finder(list(shared.value))
         for batch in batches:
             at, it, no = [], [], []
             for row, value in enumerate(batch.column(1)):
@@ -99,9 +120,10 @@ def _search(docs: DataFrame, owners: dict[str, list[int]], key: str, text: str,
                 at += [row] * len(hits)
                 it += hits
                 no += hits.values()
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(it, pa.int64()), pa.array(no, pa.int64())], [key, item, "matches"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(it, arrow), pa.array(no, pa.int64())], ["k", "i", "matches"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, `{item}` long, matches long")
+    found = docs.select(key, text).mapInArrow(run, f"k {docs.schema[key].dataType.simpleString()}, i {kind.simpleString()}, matches long")
+    return found.select(F.col("k").alias(key), F.col("i").alias(item), "matches")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -113,7 +135,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     """
     out = None
     for owners, _ in _items(benchmark, item, item_text):
-        found = _search(docs, owners, key, text, item)
+        found = _search(docs, owners, key, text, item, benchmark.schema[item].dataType)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -125,10 +147,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         shared = docs.sparkSession.sparkContext.broadcast(list(owners))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = WuManber(shared.value)
+            finder = Finder(shared.value)
             for batch in batches:
                 col = batch.column(batch.schema.get_field_index(text))
-                yield batch.filter(pa.array([not finder.find(normal(x.as_py())) for x in col], pa.bool_()))
+                yield batch.filter(pa.array([not finder.any(normal(x.as_py())) for x in col], pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
     return out

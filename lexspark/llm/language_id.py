@@ -20,12 +20,12 @@ REJECT = 0.95
 
 
 def _letters() -> np.ndarray:
-    """For each code point of the basic plane, its lower-case letter, or a space where it is no letter."""
-    out = np.full(65536, 32, np.int64)
-    for i in range(65536):
+    """For each code point, its lower-case letter, or a space where it is no letter."""
+    out = np.full(0x110000, 32, np.int64)
+    for i in range(0x110000):
         if (c := chr(i)).isalpha():
             low = c.lower()
-            out[i] = ord(low) if len(low) == 1 and ord(low) < 65536 else i
+            out[i] = ord(low) if len(low) == 1 else i
     return out
 
 
@@ -36,14 +36,14 @@ def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     """n-gram counts (n from 1 to 3) of each row: row, index among the codes, count; the sorted codes; rows' number.
 
     Letters are lower-cased, other runs become one space, and each row has a space at either end. A lone space is no n-gram.
-    A code holds the n-gram's characters in 16 bits each, from the left, so codes sort as the n-grams do.
+    A code holds the n-gram's characters in 21 bits each, from the left, so codes sort as the n-grams do.
     """
     if not _TABLE:
         _TABLE.append(_letters())
     n = len(offs) - 1
     cp = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    cp = _TABLE[0][np.minimum(cp, 65535)]
+    cp = _TABLE[0][cp]
     at = lead[offs]
     row = np.repeat(np.arange(n), np.diff(at))
     # a space before each row and one after it; then runs of spaces shrink to one
@@ -91,7 +91,7 @@ def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     else:
         pair, count = np.unique(r * v + k, return_counts=True)
     chars = np.concatenate(([0], symbols))
-    codes = (chars[found // (base * base)] << 32) | (chars[found // base % base] << 16) | chars[found % base]
+    codes = (chars[found // (base * base)] << 42) | (chars[found // base % base] << 21) | chars[found % base]
     return pair // v, pair % v, count, codes, n
 
 

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from lexspark.llm.storage import written
 
@@ -47,6 +48,16 @@ class LineIndex:
             self._push(written(whole, "lines-run"), level + 1)
 
 
+def _bounds(known: DataFrame, batches: int) -> list:
+    """Keys that part the batches: quantiles, for keys that are no numbers of a thousand of them that a hash picks."""
+    if batches < 2:
+        return []
+    if isinstance(known.schema["k"].dataType, NumericType):
+        return known.agg(F.percentile_approx("k", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
+    some = sorted(r[0] for r in known.select("k").distinct().orderBy(F.xxhash64("k")).limit(1000).collect())
+    return [some[len(some) * i // batches] for i in range(1, batches)] if some else []
+
+
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
     """(key, text, removed): each document without the lines that an earlier line of the corpus equals, and how many went.
 
@@ -58,12 +69,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", batche
     spark = docs.sparkSession
     base = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     known = base.where("k is not null and t is not null")
-    bounds = known.agg(F.percentile_approx("k", [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else None
-    batch = sum(((F.col("k") > b).cast("int") for b in bounds or []), F.lit(0))
+    bounds = _bounds(known, batches)
+    batch = sum(((F.col("k") > F.lit(b)).cast("int") for b in bounds), F.lit(0))
     line = F.explode(F.transform(F.split("t", "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(TRIM)).alias("x"))))
     cut = known.select("k", F.xxhash64("t").alias("th"), batch.alias("batch"), line.alias("l")).where("l.x <> ''")
     hashed = cut.select("k", "th", F.col("l.i").alias("i"), F.xxhash64("l.x").alias("h1"), F.xxhash64(F.lit("second"), "l.x").alias("h2"), "batch")
-    # one scan of the texts; the batches are read from it by partition
+    # one scan of the texts; each batch then scans the written hashes
     lines = written(hashed, "lines")
     index = LineIndex()
     kept = [index.add(lines.where(F.col("batch") == n).select(*HASH, "k", "th", "i")) for n in range(batches)]
@@ -72,7 +83,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", batche
     whole = base.withColumn("th", F.xxhash64("t"))
     both = whole.join(gone.hint("shuffle_hash"), ["k", "th"], "left")
     left = F.array_join(F.filter(F.split("t", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return both.select(F.col("k").alias(key), F.when(F.col("gone").isNull(), F.col("t")).otherwise(left).alias(text), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed"))
+    return both.select(F.col("k").alias(key), F.when(F.col("gone").isNull(), F.col("t")).otherwise(left).alias(text), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("removed"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

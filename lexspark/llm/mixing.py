@@ -15,6 +15,8 @@ from lexspark.llm.textnp import SPACE, mix, pieces, spans, utf8
 
 #: Tokens of a block, slots of an output shard, exponent that tempers the sources' shares, seed.
 BLOCK, SLOTS, TEMPER, SEED = 512, 1024, 0.7, 17
+#: Different sources that are mixed at most.
+SOURCES = 10_000
 
 
 class Packer:
@@ -60,13 +62,16 @@ class Packer:
             yield self._end(self.doc, b"", self.block - self.room)
 
 
-def pack(docs: DataFrame, block: int = BLOCK, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(source, part, nth, doc, text, tokens): the blocks of each source within each input partition, in the rows' order.
+def pack(docs: DataFrame, block: int = BLOCK, key: str = "doc_id", text: str = "text", source: str = "source", rest: tuple[str, ...] = ()) -> DataFrame:
+    """(source, part, nth, doc, text, tokens): the blocks of each source within each input partition, in the rows' order; with
+    ``rest`` also the first document's other columns, as a struct.
 
     No shuffle. Each partition's last block of a source may be shorter; nothing is left out but texts without tokens
     (null and empty ones). A null source is a source of its own, a null key stays null.
     """
-    kind = docs.schema[key].dataType.simpleString()
+    own = F.struct(F.col(key).alias("doc"), *[F.col(c) for c in rest])
+    made = docs.select(own.alias("own"), F.col(text).alias("text"), F.col(source).cast("string").alias("source"))
+    kind = made.schema["own"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -78,12 +83,12 @@ def pack(docs: DataFrame, block: int = BLOCK, key: str = "doc_id", text: str = "
             types = [pa.string(), pa.int64(), pa.int64(), ids, pa.binary(), pa.int64()]
             made = [pa.array(c, t) for c, t in zip(cols, types)]
             made[4] = made[4].cast(pa.string())
-            return pa.RecordBatch.from_arrays(made, ["source", "part", "nth", "doc", "text", "tokens"])
+            return pa.RecordBatch.from_arrays(made, ["source", "part", "nth", "own", "text", "tokens"])
 
         ids = None
         for batch in batches:
             ids = batch.column(0).type
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, "text"):
                 data, offs = utf8(piece.column(1))
                 s, _, first = spans(data, offs, SPACE)
                 raw, rows = data.tobytes(), []
@@ -95,7 +100,8 @@ def pack(docs: DataFrame, block: int = BLOCK, key: str = "doc_id", text: str = "
         if ids is not None:
             yield send([(src, nth.get(src, 0), b) for src, p in packers.items() for b in p.flush()])
 
-    return docs.select(key, text, source).mapInArrow(run, f"source string, part long, nth long, doc {kind}, text string, tokens long")
+    blocks = made.mapInArrow(run, f"source string, part long, nth long, own {kind}, text string, tokens long")
+    return blocks.select("source", "part", "nth", F.col("own.doc").alias("doc"), "text", "tokens", *([F.struct(*[F.col("own")[c].alias(c) for c in rest]).alias("rest")] if rest else []))
 
 
 def permuted(j: np.ndarray, n: np.ndarray, seed: np.ndarray) -> np.ndarray:
@@ -119,20 +125,25 @@ def target_weights(tokens: dict, temper: float = TEMPER) -> dict:
     return {s: x / sum(raw.values()) for s, x in raw.items()}
 
 
-def mixed(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mixed(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source", rest: tuple[str, ...] = ()) -> DataFrame:
     """(shard, slot, source, epoch, block, key, text, tokens): as many slots as there are blocks, drawn to the weights.
 
     Each output shard of ``slots`` slots (the last may have fewer) draws its number of slots of each source from a multinomial
     distribution. A source's slots, counted over all shards, are mapped by a permutation of its blocks, a new one for each
     epoch: no block comes again before all of its source have come. ``key`` is the document in which the block starts.
     ``weights`` (source: share, scaled to sum 1; sources without blocks or weight are left out) default to target_weights().
-    An empty table gives no row.
+    An empty table gives no row. Blocks are numbered by the input's partitions, so the same seed gives the same mixture of the
+    same files read in the same partitions; with others, one drawn alike. ValueError for more than SOURCES sources. With
+    ``rest`` the first document's columns of these names come as a struct.
     """
     spark = docs.sparkSession
-    blocks = written(pack(docs, block, key, text, source), "blocks")
+    blocks = written(pack(docs, block, key, text, source, rest), "blocks")
     counts = written(blocks.groupBy("source", "part").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")), "block-counts")
-    # one row for each source: a label set, not data that grows with the texts
-    total = {r["source"]: (r["n"], r["tokens"]) for r in counts.groupBy("source").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).collect()}
+    # one row for each source, at most SOURCES
+    rows = counts.groupBy("source").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).limit(SOURCES + 1).collect()
+    if len(rows) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources: they are labels that weights are set for, no data")
+    total = {r["source"]: (r["n"], r["tokens"]) for r in rows}
     share = weights or target_weights({s: t for s, (_, t) in total.items()})
     names = sorted((s for s in total if share.get(s, 0) > 0), key=lambda s: (s is None, s or ""))
     p = np.array([share[s] for s in names], float)
@@ -176,18 +187,20 @@ def mixed(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, slot
     named = counts.join(F.broadcast(labels), counts["source"].eqNullSafe(labels["source"])).select("s", labels["source"], "part", "n")
     base = named.select("s", "source", "part", "n", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
     index = base.select("s", F.col("source").alias("src"), F.col("part").alias("p"), "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")).select("s", "src", "p", "i", (F.col("base") + F.col("i")).alias("block"))
-    slot = picked.join(index, ["s", "block"])
+    # both sides grow with the blocks, and nothing is known of their sizes: no broadcast
+    slot = picked.join(index.hint("merge"), ["s", "block"])
     # the slots are narrow: they are hashed, and the texts, which move only here, stream past them unsorted
     here = blocks["source"].eqNullSafe(slot["src"]) & (blocks["part"] == slot["p"]) & (blocks["nth"] == slot["i"])
     both = blocks.join(slot.hint("shuffle_hash"), here)
-    return both.select("shard", "slot", "source", "epoch", "block", F.col("doc").alias(key), "text", "tokens")
+    return both.select("shard", "slot", "source", "epoch", "block", F.col("doc").alias(key), "text", "tokens", *(["rest"] if rest else []))
 
 
 def as_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mixture in the columns of documents: a row for each slot, with the first document's key, the block's text and length."""
-    m = mixed(docs, **options)
+    """The mixture in the columns of documents: a row for each slot, with the block's text and length; key and all other columns are those of the document in which the block starts."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "source", "n_chars"))
+    m = mixed(docs, rest=rest, **options)
     made = {"doc_id": F.col("doc_id"), "text": F.col("text"), "source": F.col("source"), "n_chars": F.length("text").cast("long")}
-    return m.select(*[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in docs.schema])
+    return m.select(*[(made[f.name] if f.name in made else F.col("rest")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ is PAIRS. Documents under one key are compared by their whole fingerprints.
 """
 
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.components import components
-from lexspark.llm.storage import written
+from lexspark.llm.storage import integer_key, written
 from lexspark.llm.textnp import LOWER, PUNCT, mix, pieces, span_hashes, spans, utf8
 
 SEGMENTS, BITS = 8, 184
@@ -272,9 +273,10 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, duplicate_of) of each document but the first of its group; groups join documents whose fingerprints are near, directly or by way of others.
 
-    The first has the smallest key. Documents without any token (null and empty texts) and rows with a null key are in no
+    Keys are integers (TypeError for others). The first has the smallest key. Documents without any token (null and empty texts) and rows with a null key are in no
     group. Rows that repeat a key are one document. Equal fingerprints (exact copies among them) need no search.
     """
+    integer_key(docs, key)
     spark = docs.sparkSession
     shards = SPREAD * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     members = written(_members(docs, key, text), "fingerprints")
@@ -287,12 +289,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, in all their columns, of one document of each group; of rows that repeat key and text one stays. Rows with a null key stay."""
-    gone = near_duplicates(docs, key, text).select(F.col(key).alias("__gone"))
-    kept = docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
-    again = docs.groupBy(key).agg(F.count("*").alias("__n")).where(f"__n > 1 and `{key}` is not null").select(F.col(key).alias("__again"))
-    match = F.col(key) == F.col("__again")
-    return kept.join(again, match, "left_anti").unionByName(kept.join(again, match, "left_semi").dropDuplicates([key, text]))
+    """The rows, in all their columns, of one document of each group.
+
+    Of rows that repeat key and text one stays, the first by its columns as JSON. Rows with a null key stay. Texts that share a
+    key are documents of their own: a copy among them goes, the others stay.
+    """
+    names = [f"__{x}_{uuid.uuid4().hex[:8]}" for x in ("id", "own", "gone", "row")]
+    own_id, shared_key, gone, first = names
+    cols = docs.columns
+    clash = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.count_distinct(F.xxhash64(text)).alias("texts")).where("n > 1")
+    clash = clash.select(F.col(key).alias(shared_key), (F.col("texts") > 1).alias(first))
+    named = docs.join(clash, F.col(key) == F.col(shared_key), "left")
+    # keys that stand for several texts get ids below all others
+    several = F.coalesce(F.col(first), F.lit(False))
+    named = named.withColumn(own_id, F.when(several, -F.pmod(F.xxhash64(key, text), F.lit(1 << 62)) - (1 << 62)).otherwise(F.col(key).cast("long")))
+    copies = near_duplicates(named.select(F.col(own_id).alias("id"), F.col(text).alias("t")), "id", "t").select(F.col("id").alias(gone))
+    kept = named.join(copies, F.col(own_id) == F.col(gone), "left_anti")
+    single = kept.where(F.col(shared_key).isNull()).select(*cols)
+    again = kept.where(F.col(shared_key).isNotNull()).groupBy(key, text).agg(F.min_by(F.struct(*cols), F.to_json(F.struct(*cols))).alias(first))
+    return single.unionByName(again.select(*[F.col(first)[c].alias(c) for c in cols]))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

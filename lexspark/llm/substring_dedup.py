@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 
+from lexspark.llm.storage import integer_key
 from lexspark.llm.textnp import SPACE, mix, pieces, powers, span_hashes, spans, utf8
 
 #: Tokens of a window: a passage of at least so many that comes twice is found.
@@ -93,13 +94,14 @@ def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: st
     """(key, start, end): the maximal intervals of tokens [start, end) that windows of ``width`` tokens cover which occur at least twice.
 
     Tokens are split at ASCII white space and numbered from 0. All occurrences are reported, the first too, also those within
-    one document. Rows with a null key are left out; null, empty and shorter texts have no window. Rows that repeat a key
+    one document. Keys are integers (TypeError for others); rows with a null key are left out; null, empty and shorter texts have no window. Rows that repeat a key
     are occurrences of their own, and their intervals are joined under the key.
 
     Windows go once through a shuffle by hash, packed in binary columns (20 bytes a window). A window that comes again
     among those that a task gathers is sent as one entry, however often it comes, so that a passage which very many documents
     share doesn't pile up in one partition.
     """
+    integer_key(docs, key)
     spark = docs.sparkSession
     shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

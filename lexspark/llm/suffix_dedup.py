@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexspark.llm import substring_dedup
 from lexspark.llm.substring_dedup import _NAMES, _PACKED, _row, _split, joined, merge
+from lexspark.llm.storage import integer_key
 from lexspark.llm.textnp import SPACE, mix, pieces, powers, span_hashes, spans, utf8
 
 #: Tokens of a match; tokens of the n-grams that name shards; batches; shards for each shuffle partition; windows that a task gathers.
@@ -139,10 +140,11 @@ def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: st
     """(key, start, end): the maximal intervals of tokens [start, end) covered by matches of at least ``width`` tokens with another place of the corpus.
 
     Tokens are split at ASCII white space and numbered from 0; they are compared by 32 bits of a hash each. Both places of a
-    match are reported, also within one document. Rows with a null key are left out; null, empty and shorter texts have no
+    match are reported, also within one document. Keys are integers (TypeError for others); rows with a null key are left out; null, empty and shorter texts have no
     match. Rows that repeat a key are places of their own, and their intervals are joined under the key. A stretch that comes
     again among those that a task gathers is sent once, so a passage which very many documents share doesn't pile up.
     """
+    integer_key(docs, key)
     spark = docs.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shards = parts * SPREAD
