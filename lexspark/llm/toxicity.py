@@ -250,7 +250,7 @@ class Model:
 
 def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Weights of a linear soft-margin machine with squared loss (the last for a constant feature), by Newton's method on its primal."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
@@ -261,7 +261,7 @@ def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 50) -> np.
         own = short > 0
         xo, co = x[own], cost[own]
         slope = w - 2 * xo.T @ (co * y[own] * short[own])
-        step = np.linalg.solve(np.eye(len(w)) + 2 * (xo * co[:, None]).T @ xo, slope)
+        step = np.linalg.solve(np.eye(len(w)) + 2 * ((xo * co[:, None].astype(xo.dtype)).T @ xo).astype(np.float64), slope)
         rate, now = 1.0, loss(w)
         while rate > 1e-6 and loss(w - rate * step) > now:
             rate /= 2
@@ -279,35 +279,91 @@ def likelihood(bad: np.ndarray, good: np.ndarray, a: float, b: float) -> np.ndar
     return 2 * z * np.sign(bad / a - good / b)
 
 
-def telling(w: Windows, word: np.ndarray, toxic: np.ndarray, once: np.ndarray) -> list[bytes]:
+@dataclass
+class Seen:
+    """Different windows of some texts: bytes, start and end of each, its kind; and the pairs of a window and a text that has it."""
+
+    low: np.ndarray
+    s: np.ndarray
+    e: np.ndarray
+    kind: np.ndarray
+    window: np.ndarray
+    doc: np.ndarray
+
+
+def seen(texts: list[str], pick) -> Seen:
+    """The windows that pick() chooses of each block of about a megabyte of texts, so that only different ones are held at once."""
+    known: dict[int, int] = {}
+    raw, kinds, window, doc, at = [], [], [], [], 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < 1 << 20):
+            size += len(texts[to])
+            to += 1
+        w = windows(*utf8(pa.array(texts[at:to], pa.string())))
+        i = pick(w)
+        h, first, index = np.unique(names(w)[i], return_index=True, return_inverse=True)
+        own = np.zeros(len(h), np.int64)
+        for n, (x, j) in enumerate(zip(h.tolist(), i[first].tolist())):
+            if x not in known:
+                known[x] = len(raw)
+                raw.append(w.low[w.s[j] : w.e[j]].tobytes())
+                kinds.append(w.kind[j])
+            own[n] = known[x]
+        pair = np.unique(own[index] * (to - at) + w.row[i])
+        window.append((pair // (to - at)).astype(np.int32))
+        doc.append((pair % (to - at) + at).astype(np.int32))
+        at = to
+    ends = np.cumsum([0] + [len(x) for x in raw])
+    return Seen(np.frombuffer(b"".join(raw), np.uint8), ends[:-1], ends[1:], np.array(kinds, np.int64), np.concatenate(window or [[]]).astype(np.int64), np.concatenate(doc or [[]]).astype(np.int64))
+
+
+def telling(w: Seen, toxic: np.ndarray) -> list[bytes]:
     """Words and beginnings of words that tell toxic documents: the sure ones among all toxic documents, then, one after another, the
     surest among the toxic documents that have none of those before.
 
-    Sure is a log-likelihood ratio of at least SURE where more than RATE times as many toxic as clean documents have the word; there is no other
-    limit to their number. Near copies count once. A beginning stands for the longer ones.
+    Sure is a log-likelihood ratio of at least SURE where more than RATE times as many toxic as clean documents have the word;
+    there is no other limit to their number. Near copies count once. A beginning stands for the longer ones.
     """
-    s, e, row = w.s[word], w.e[word], w.row[word]
-    stems: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-    for size in range(STEM[0], STEM[1] + 1):
-        i = np.flatnonzero(e - s >= size)
-        i = i[(s[i] + size == e[i]) | (w.low[np.minimum(s[i] + size, len(w.low) - 1)] & 0xC0 != 0x80)]  # no character is cut
-        stems.append((span_hashes(w.low, s[i], s[i] + size), row[i], s[i], s[i] + size))
-    i = np.flatnonzero((e - s > STEM[1]) & (e - s <= LONG))
-    stems.append((span_hashes(w.low, s[i], e[i]), row[i], s[i], e[i]))
-    h, row, s, e = (np.concatenate(x) for x in zip(*stems))
-    ok = once[row]
-    h, row, s, e = h[ok], row[ok], s[ok], e[ok]
-    h, first, index = np.unique(h, return_index=True, return_inverse=True)
-    # stems that no more than two toxic documents have can't be sure
-    pair = np.unique(index * len(toxic) + row)
-    stem, doc = pair // len(toxic), pair % len(toxic)
-    good = np.bincount(stem, toxic[doc] == 0, len(h))
-    tox = toxic[doc] > 0
-    stem, doc = stem[tox], doc[tox]
+    if not len(w.s):
+        return []
+    # near copies of a document share their long words, mostly also the one with the smallest hash: one of them counts
+    h = span_hashes(w.low, w.s, w.e)
+    long = (w.e - w.s)[w.window] >= 9
+    least = np.full(len(toxic), np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, w.doc[long], h[w.window[long]])
+    once = least == np.iinfo(np.uint64).max
+    once[np.unique(least, return_index=True)[1]] = True
+    count = once[w.doc]
+    window, doc = w.window[count], w.doc[count]
     open_ = (toxic > 0) & once
     b = float((once & (toxic == 0)).sum())
-    name = lambda i: w.low[s[first[i]] : e[first[i]]].tobytes()
-    size, out = (e - s)[first], []
+    found: list[tuple[np.ndarray, ...]] = []
+    base = 0
+    for size in [*range(STEM[0], STEM[1] + 1), 0]:
+        length = w.e - w.s
+        own = np.flatnonzero((length > STEM[1]) & (length <= LONG) if not size else length >= size)
+        end = w.e[own] if not size else w.s[own] + size
+        whole = (end == w.e[own]) | (w.low[np.minimum(end, len(w.low) - 1)] & 0xC0 != 0x80)  # no character is cut
+        own, end = own[whole], end[whole]
+        x, first, index = np.unique(span_hashes(w.low, w.s[own], end), return_index=True, return_inverse=True)
+        of = np.full(len(w.s), -1, np.int64)
+        of[own] = index
+        stem = of[window]
+        pair = np.unique(stem[stem >= 0] * len(toxic) + doc[stem >= 0])
+        stem, text = pair // len(toxic), pair % len(toxic)
+        bad = np.bincount(stem, toxic[text] > 0, len(x))
+        good = np.bincount(stem, toxic[text] == 0, len(x))
+        keep = np.flatnonzero((bad >= 3) & (bad > RATE * good))
+        new = np.full(len(x), -1, np.int64)
+        new[keep] = base + np.arange(len(keep))
+        hit = (new[stem] >= 0) & (toxic[text] > 0)
+        found.append((x[keep], good[keep], w.s[own][first[keep]], end[first[keep]], new[stem[hit]], text[hit]))
+        base += len(keep)
+    h, good, s, e = (np.concatenate([x[i] for x in found]) for i in range(4))
+    stem, doc = (np.concatenate([x[i] for x in found]) for i in (4, 5))
+    name = lambda i: w.low[s[i] : e[i]].tobytes()
+    size, out = e - s, []
 
     def surest(bad: np.ndarray, a: float) -> tuple[np.ndarray, np.ndarray]:
         """Stems that are sure, the surest first; of equal ones the longest, which all forms share."""
@@ -326,7 +382,7 @@ def telling(w: Windows, word: np.ndarray, toxic: np.ndarray, once: np.ndarray) -
     for i in cand:
         if not any(m in name(i) or m.startswith(name(i)) for m in out):
             out.append(whole(i, cand, z))
-    known = np.flatnonzero(np.isin(h, [int(v) for m in out for v in span_hashes(np.frombuffer(m, np.uint8), np.array([0]), np.array([len(m)]))]))
+    known = np.array([i for i in range(len(h)) if any(name(i).startswith(m) for m in out)], np.int64)
     open_[doc[np.isin(stem, known)]] = False
     while open_.any():
         cand, z = surest(np.bincount(stem, open_[doc], len(h)), float(open_.sum()))
@@ -354,49 +410,40 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     """
     toxic = np.asarray(toxic, np.int64)
     none = Model([], np.zeros(0, np.float32), -1.0, np.ones((3, 0), bool))
-    w = windows(*utf8(pa.array(texts, pa.string())))
-    if not len(w.s) or not toxic.any() or toxic.all():
+    if not toxic.any() or toxic.all():
         return none
-    h = span_hashes(w.low, w.s, w.e)
-    # near copies of a document share their long words, mostly also the one with the smallest hash: one of them counts
-    long = np.flatnonzero((w.e - w.s >= 9) & (w.e <= len(w.low)))
-    least = np.full(len(toxic), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, w.row[long], h[long])
-    once = least == np.iinfo(np.uint64).max
-    once[np.unique(least, return_index=True)[1]] = True
-    marks = telling(w, np.flatnonzero(w.kind == 0), toxic, once)
+    marks = telling(seen(texts, lambda w: np.flatnonzero((w.kind == 0) & (w.e - w.s >= STEM[0]))), toxic)
     if not marks:
         return none
-    h, first, index = np.unique(names(w), return_index=True, return_inverse=True)
-    pair = np.unique(index * len(toxic) + w.row)
-    bad = np.bincount(pair // len(toxic), toxic[pair % len(toxic)], len(h))
-    good = np.bincount(pair // len(toxic), toxic[pair % len(toxic)] == 0, len(h))
+
+    def compared(kernel: Kernel) -> tuple[Seen, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows that are like some landmark, their rows, and how many toxic and clean documents have each."""
+        w = seen(texts, kernel.like)
+        hit = toxic[w.doc] > 0
+        return w, kernel.rows(w.low, w.s, w.e), np.bincount(w.window, hit, len(w.s)), np.bincount(w.window, ~hit, len(w.s))
+
     kernel = Kernel(marks)
-    near = np.unique(index[kernel.like(w)])
-    rows = kernel.rows(w.low, w.s[first[near]], w.e[first[near]])
-    kind, clean = w.kind[first[near]], good[near] > 0
+    w, rows, bad, good = compared(kernel)
     allow = np.ones((3, len(marks)), bool)
     for i in (1, 2):
-        allow[i] = rows[clean & (kind == i)].max(0, initial=0) < SPELT
-    rows *= allow[kind]
-    close = rows.max(1, initial=0)
-    hard = np.flatnonzero(clean & (close >= HARD) & (bad[near] <= RATE * good[near]))
-    hard = hard[np.lexsort((h[near][hard], -close[hard] * good[near][hard]))][: len(marks)]
-    hard = [w.low[w.s[i] : min(w.e[i], w.s[i] + LONG)].tobytes() for i in first[near][hard]]
+        allow[i] = rows[(good > 0) & (w.kind == i)].max(0, initial=0) < SPELT
+    close = (rows * allow[w.kind]).max(1, initial=0)
+    hard = np.flatnonzero((good > 0) & (close >= HARD) & (bad <= RATE * good))
+    hard = hard[np.lexsort((hard, -close[hard] * good[hard]))][: len(marks)]
+    toxics = len(marks)
+    hard = [w.low[w.s[i] : min(w.e[i], w.s[i] + LONG)].tobytes() for i in hard]
     marks = marks + [x for x in dict.fromkeys(hard) if x not in marks]
-    toxics = rows.shape[1]
     kernel = Kernel(marks)
-    near = np.unique(index[kernel.like(w)])
-    rows = kernel.rows(w.low, w.s[first[near]], w.e[first[near]])
-    kind, clean = w.kind[first[near]], good[near] > 0
+    w, rows, bad, good = compared(kernel)
+    clean = good > 0
     allow = np.hstack([allow, np.ones((3, len(marks) - toxics), bool)])
-    rows *= allow[kind]
+    rows *= allow[w.kind]
     width = max(len(x) for x in marks)
     gram = np.stack([string_kernel(np.repeat(table([x], 0, width)[0], len(marks), 0), np.full(len(marks), len(x)), kernel.marks) for x in marks])
     gram = (gram / np.sqrt(kernel.self_[:, None] * kernel.self_)) ** POWER
     value, vector = np.linalg.eigh((gram + gram.T).astype(np.float64) / 2)
     whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
-    witness = (rows[:, :toxics].max(1, initial=0) >= 0.999) & (bad[near] > RATE * good[near])
+    witness = (rows[:, :toxics].max(1, initial=0) >= 0.999) & (bad > RATE * good)
     clean &= ~witness
     made, size = table([x for m in marks[:toxics] for x in disguises(m)], 0, LONG)
     at = np.arange(len(made)) * made.shape[1]
@@ -404,15 +451,13 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     x = np.concatenate([rows[witness], forms, rows[clean], np.zeros((1, len(marks)), np.float32)])
     y = np.concatenate([np.ones(witness.sum() + len(forms)), -np.ones(clean.sum() + 1)])
     # a window counts as often as documents have it
-    cost = COST * np.concatenate([bad[near][witness], np.ones(len(forms)), good[near][clean], [1.0]])
-    v = svm(x @ whiten, y, cost)
+    cost = COST * np.concatenate([bad[witness], np.ones(len(forms)), good[clean], [1.0]])
+    v = svm((x @ whiten).astype(np.float32), y, cost)
     weights, bias = (whiten @ v[:-1]).astype(np.float32), float(v[-1])
     # the threshold lies above what all but a thousandth of the clean documents reach, but not above the margin, where no toxic sentence would be left
-    each = np.full(len(h), bias)
-    each[near] = rows @ weights + bias
-    score = np.full(len(toxic), -np.inf)
-    np.maximum.at(score, w.row, each[index])
-    best = np.sort(score[(toxic == 0) & np.isfinite(score)])
+    score = np.full(len(toxic), bias)
+    np.maximum.at(score, w.doc, (rows @ weights + bias)[w.window])
+    best = np.sort(score[toxic == 0])
     most = float(best[-1 - len(best) // 1000]) if len(best) else 0.0
     return Model(marks, weights, bias - min(most + THRESHOLD * max(1 - most, 0.2), 1.0), allow)
 
