@@ -32,11 +32,10 @@ class Packer:
         """``starts``: where the tokens of ``raw`` begin. A text without tokens adds nothing."""
         if not len(starts):
             return
-        at = 0
+        at, left = 0, len(starts) - self.room
         for cut in starts[self.room :: self.block].tolist():
             yield self._end(doc, raw[at:cut], self.block)
             at = cut
-        left = len(starts) - self.room
         if left < 0:
             self.room = -left
         else:
