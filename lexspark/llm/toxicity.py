@@ -327,13 +327,17 @@ def telling(w: Seen, toxic: np.ndarray) -> list[bytes]:
     """
     if not len(w.s):
         return []
-    # near copies of a document share their long words, mostly also the one with the smallest hash: one of them counts
+    # near copies of a document share their long words, mostly also the two with the smallest hashes: one of them counts (one hash
+    # alone could be that of an insult, which other documents have too)
     h = span_hashes(w.low, w.s, w.e)
-    long = (w.e - w.s)[w.window] >= 9
-    least = np.full(len(toxic), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, w.doc[long], h[w.window[long]])
-    once = least == np.iinfo(np.uint64).max
-    once[np.unique(least, return_index=True)[1]] = True
+    long = np.flatnonzero((w.e - w.s)[w.window] >= 9)
+    long = long[np.lexsort((h[w.window[long]], w.doc[long]))]
+    nth = np.arange(len(long)) - np.searchsorted(w.doc[long], w.doc[long])
+    name = np.zeros(len(toxic), np.uint64)
+    pick = long[nth < 2]
+    np.add.at(name, w.doc[pick], h[w.window[pick]])
+    once = np.bincount(w.doc[pick], minlength=len(toxic)) < 2
+    once[np.unique(name, return_index=True)[1]] = True
     count = once[w.doc]
     window, doc = w.window[count], w.doc[count]
     open_ = (toxic > 0) & once
@@ -454,12 +458,14 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     cost = COST * np.concatenate([bad[witness], np.ones(len(forms)), good[clean], [1.0]])
     v = svm((x @ whiten).astype(np.float32), y, cost)
     weights, bias = (whiten @ v[:-1]).astype(np.float32), float(v[-1])
-    # the threshold lies above what all but a thousandth of the clean documents reach, but not above the margin, where no toxic sentence would be left
+    # the threshold lies above what all but a thousandth of the clean documents reach, but not above half of what nearly all toxic ones that are found reach
     score = np.full(len(toxic), bias)
     np.maximum.at(score, w.doc, (rows @ weights + bias)[w.window])
     best = np.sort(score[toxic == 0])
     most = float(best[-1 - len(best) // 1000]) if len(best) else 0.0
-    return Model(marks, weights, bias - min(most + THRESHOLD * max(1 - most, 0.2), 1.0), allow)
+    found = score[(toxic > 0) & (score > 1)]
+    limit = max(1.0, float(np.quantile(found, 0.05)) / 2) if len(found) else 1.0
+    return Model(marks, weights, bias - min(most + THRESHOLD * max(1 - most, 0.2), limit), allow)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
