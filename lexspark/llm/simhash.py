@@ -298,12 +298,14 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     own_id, shared_key, gone, first = names
     cols = docs.columns
     clash = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.count_distinct(F.xxhash64(text)).alias("texts")).where("n > 1")
-    clash = clash.select(F.col(key).alias(shared_key), (F.col("texts") > 1).alias(first))
+    # written, so that Spark knows their sizes: small tables of keys are broadcast and the texts don't move, large ones are not
+    clash = written(clash.select(F.col(key).alias(shared_key), (F.col("texts") > 1).alias(first)), "key-clashes")
     named = docs.join(clash, F.col(key) == F.col(shared_key), "left")
     # keys that stand for several texts get ids below all others
     several = F.coalesce(F.col(first), F.lit(False))
     named = named.withColumn(own_id, F.when(several, -F.pmod(F.xxhash64(key, text), F.lit(1 << 62)) - (1 << 62)).otherwise(F.col(key).cast("long")))
     copies = near_duplicates(named.select(F.col(own_id).alias("id"), F.col(text).alias("t")), "id", "t").select(F.col("id").alias(gone))
+    copies = written(copies, "copies")
     kept = named.join(copies, F.col(own_id) == F.col(gone), "left_anti")
     single = kept.where(F.col(shared_key).isNull()).select(*cols)
     again = kept.where(F.col(shared_key).isNotNull()).groupBy(key, text).agg(F.min_by(F.struct(*cols), F.to_json(F.struct(*cols))).alias(first))
