@@ -30,7 +30,7 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     try:
         head.decode("utf-8-sig")
     except UnicodeDecodeError as e:
-        if e.start < len(head) - 4:
+        if len(head) < 10240 or e.start < len(head) - 4:
             return "windows-1252"
     return "UTF-8"
 
