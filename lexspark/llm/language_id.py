@@ -21,7 +21,7 @@ REJECT = 0.95
 
 def _letters() -> np.ndarray:
     """For each code point, its lower-case letter, or a space where it is no letter."""
-    out = np.full(0x110000, 32, np.int64)
+    out = np.full(0x110000, 32, np.int32)
     for i in range(0x110000):
         if (c := chr(i)).isalpha():
             low = c.lower()
@@ -123,7 +123,7 @@ def distances(data: np.ndarray, offs: np.ndarray, profiles: np.ndarray) -> tuple
 
 
 def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batch, text, 1 << 20):
+    for part in pieces(batch, text, 1 << 19):
         for at in range(0, part.num_rows, 512):
             yield part.slice(at, 512)
 
