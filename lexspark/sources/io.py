@@ -35,9 +35,17 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     return "UTF-8"
 
 
+#: Windows-1252 is read as Latin-1, which Spark has, and its own characters are put in afterwards.
+_WINDOWS = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+
+
+def _charset(encoding: str) -> str:
+    return "ISO-8859-1" if encoding == "windows-1252" else encoding
+
+
 def csv_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
     """The header alone."""
-    return spark.read.option("header", True).option("multiLine", True).option("encoding", encoding).option("escape", '"').csv(path).columns
+    return spark.read.option("header", True).option("multiLine", True).option("encoding", _charset(encoding)).option("escape", '"').csv(path).columns
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, encoding: str | None = None) -> DataFrame:
@@ -46,11 +54,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, e
     Columns named _c… or 'Unnamed…' without a header are dropped (P2).
     """
     enc = encoding or detect_encoding(spark, path)
-    r = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", enc)
+    r = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", _charset(enc))
     if schema is not None:
         return r.option("nullValue", "").schema(schema).csv(path)
     names = csv_columns(spark, path, enc)
-    df = null_tokens(r.schema(StructType([StructField(n, StringType()) for n in names])).csv(path))
+    df = r.schema(StructType([StructField(n, StringType()) for n in names])).csv(path)
+    if enc == "windows-1252":
+        bad, good = ("".join(x) for x in zip(*_WINDOWS))
+        df = df.select(*[F.translate(F.col(f"`{n}`"), bad, good).alias(n) for n in names])
+    df = null_tokens(df)
     return df.select(*[F.col(f"`{n}`") for n in names if not n.startswith(("Unnamed", "_c"))])
 
 

@@ -15,8 +15,8 @@ def test_csv_as_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿Ref,Headword,Unnamed: 2\nWHP-1,"<p>a\nb ""q""</p>",\n007,NA,\n,N/A,x\n', encoding="utf-8")
     df = io.read_csv(spark, str(tmp_path / "a.csv"))
     assert df.columns == ["Ref", "Headword"] and [tuple(r) for r in df.collect()] == [("WHP-1", '<p>a\nb "q"</p>'), ("007", None), (None, None)]
-    (tmp_path / "b.csv").write_bytes("a,b\né,1\n".encode("cp1252"))
-    assert io.detect_encoding(spark, str(tmp_path / "b.csv")) == "windows-1252" and io.read_csv(spark, str(tmp_path / "b.csv")).first()["a"] == "é"
+    (tmp_path / "b.csv").write_bytes("a,b\né’,1\n".encode("cp1252"))
+    assert io.detect_encoding(spark, str(tmp_path / "b.csv")) == "windows-1252" and io.read_csv(spark, str(tmp_path / "b.csv")).first()["a"] == "é’"
     assert io.load(spark, str(tmp_path / "b.csv")).count() == 1
     with pytest.raises(ValueError):
         io.load(spark, "x", "odd")
