@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WS = r"(?U)\s+"
+#: Characters that first_diff compares at once.
+BLOCK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def squeeze(c: Column) -> Column:
@@ -55,18 +62,28 @@ def length_diff(new: Column, old: Column) -> Column:
 def first_diff(new: Column, old: Column) -> Column:
     """0-based place of the first differing character, the shorter length for a prefix, null if equal. Linear in the length."""
     a, b = F.coalesce(new, F.lit("")), F.coalesce(old, F.lit(""))
-    differs = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: ~x.eqNullSafe(y))
-    return F.when(a != b, F.array_position(differs, F.lit(True)) - 1)
+
+    def place(x, y):
+        return F.array_position(F.zip_with(F.split(x, ""), F.split(y, ""), lambda p, q: ~p.eqNullSafe(q)), F.lit(True)) - 1
+
+    # blocks of characters first, then the characters of the first block that differs
+    cut = F.lit(rf"(?s).{{1,{BLOCK}}}")
+    blocks = F.zip_with(F.regexp_extract_all(a, cut, 0), F.regexp_extract_all(b, cut, 0), lambda p, q: ~p.eqNullSafe(q))
+    found = bound(F.array_position(blocks, F.lit(True)), lambda n: (n - 1) * BLOCK + place(a.substr((n - 1).cast("int") * BLOCK + 1, F.lit(BLOCK)), b.substr((n - 1).cast("int") * BLOCK + 1, F.lit(BLOCK))))
+    return F.when(a != b, found)
 
 
 def diff_context(new: Column, old: Column, around: int = 30) -> Column:
     """A window around the first difference on both sides; null if equal. The end of both windows follows the new text's length."""
     a, b = F.coalesce(new, F.lit("")), F.coalesce(old, F.lit(""))
-    at = first_diff(a, b).cast("int")
-    start = F.greatest(F.lit(0), at - around)
-    end = F.least(F.length(a), at + around)
-    theirs = F.when(at < F.length(b), b.substr(start + 1, F.greatest(end - start, F.lit(0)))).otherwise(b.substr(start + 1, F.length(b)))
-    return F.when(at.isNotNull(), F.concat(F.lit("Scraped: ..."), a.substr(start + 1, end - start), F.lit("... | Local: ..."), theirs, F.lit("...")))
+
+    def around_it(at):
+        start = F.greatest(F.lit(0), at - around)
+        end = F.least(F.length(a), at + around)
+        theirs = F.when(at < F.length(b), b.substr(start + 1, F.greatest(end - start, F.lit(0)))).otherwise(b.substr(start + 1, F.length(b)))
+        return F.when(at.isNotNull(), F.concat(F.lit("Scraped: ..."), a.substr(start + 1, end - start), F.lit("... | Local: ..."), theirs, F.lit("...")))
+
+    return bound(first_diff(a, b).cast("int"), around_it)
 
 
 def punctuation_only(new: Column, old: Column) -> Column:
