@@ -26,10 +26,14 @@ SEGMENTS, BITS = 8, 184
 PAIRS = tuple((i, j) for h in (0, 4) for i in range(h, h + 4) for j in range(i + 1, h + 4))
 #: Fingerprints that differ in at most this many of the 184 bits are near duplicates.
 NEAR = 33
-#: Members under one key that are compared each with each at once; larger sets are compared group by group.
+#: Members under one key that are compared side by side with other keys' members; those of larger keys one after another.
 ALL_PAIRS = 4096
+#: Keys of a shard, about, and near pairs that are kept before they are joined: what a task holds at once, whatever the input and the number of partitions.
+AT_ONCE, PENDING = 200_000, 500_000
 #: Shards of keys for each shuffle partition, so that hashing them to partitions evens out.
 SPREAD = 8
+#: Members that one member of a large key is compared with at once.
+BLOCK = 1 << 17
 
 _WORD = np.dtype("u8")
 
@@ -122,52 +126,68 @@ def search_keys(fp: np.ndarray, code) -> tuple[np.ndarray, np.ndarray]:
 
 
 def apart(fp: np.ndarray, i, j) -> np.ndarray:
-    return np.bitwise_count(fp[i] ^ fp[j]).sum(-1)
+    n = np.bitwise_count(fp[i] ^ fp[j])
+    return n[..., 0] + n[..., 1] + n[..., 2]
 
 
-def near_pairs(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the members sorted by key, pairs within NEAR that join just those members under one key whom all near pairs there would join."""
-    end = np.searchsorted(key, key, "right")
-    here = np.arange(len(key))
-    begin = np.searchsorted(key, key, "left")
+def joined(key: np.ndarray, doc: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """The smallest document of each one's group. Of the members (key, document), sorted by key, those under one key are compared each with each.
+
+    Pairs that are already in one group aren't compared, and found pairs are joined before they become many.
+    """
+    label = np.arange(len(fp))
     left, right = [], []
+
+    def join() -> None:
+        own = np.flatnonzero(label != np.arange(len(fp)))
+        nodes, roots = _forest(np.concatenate([own, *left]), np.concatenate([label[own], *right]))
+        label[nodes] = roots
+        left.clear()
+        right.clear()
+
+    def found(x: np.ndarray, y: np.ndarray) -> None:
+        if len(x):
+            left.append(x)
+            right.append(y)
+        if sum(map(len, left)) > PENDING:
+            join()
+
+    here = np.arange(len(key))
+    begin, end = np.searchsorted(key, key, "left"), np.searchsorted(key, key, "right")
     i = here[(end - begin <= ALL_PAIRS) & (end - here > 1)]
     step = 1
     while len(i):
-        good = apart(fp, i, i + step) <= NEAR
-        left.append(i[good])
-        right.append(i[good] + step)
+        x, y = doc[i], doc[i + step]
+        two = label[x] != label[y]
+        x, y = x[two], y[two]
+        good = apart(fp, x, y) <= NEAR
+        found(x[good], y[good])
+        if step == 1:
+            join()
         step += 1
         i = i[end[i] - i > step]
     for b in np.unique(begin[end - begin > ALL_PAIRS]):
-        todo, groups = np.arange(b, end[b]), []
-        while len(todo):
-            close = apart(fp, todo[0], todo) <= NEAR
-            groups.append(todo[close])
-            left.append(np.full(close.sum() - 1, todo[0]))
-            right.append(todo[close][1:])
-            todo = todo[~close]
-        # members of two groups can be near each other although the groups' leaders are not
-        name = list(range(len(groups)))
-
-        def find(x: int) -> int:
-            while name[x] != x:
-                name[x] = name[name[x]]
-                x = name[x]
-            return x
-
-        for x in range(len(groups)):
-            for y in range(x):
-                if find(x) == find(y):
-                    continue
-                for m in groups[x]:
-                    close = np.flatnonzero(apart(fp, m, groups[y]) <= NEAR)
-                    if len(close):
-                        left.append(np.array([m]))
-                        right.append(groups[y][close[:1]])
-                        name[find(x)] = find(y)
-                        break
-    return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+        # a few documents with all: what is near one of many copies needs no further comparison with the others
+        rest = doc[b : end[b]]
+        for _ in range(64):
+            if len(rest):
+                near = apart(fp, rest[:1], rest) <= NEAR
+                found(np.full(near.sum() - 1, rest[0]), rest[near][1:])
+                rest = rest[~near]
+        join()
+        m = doc[b : end[b]]
+        m = m[np.argsort(label[m], kind="stable")]
+        group = label[m]
+        past = np.searchsorted(group, group, "right")
+        w = fp[m]
+        for p in range(len(m)):
+            for at in range(past[p], len(m), BLOCK):
+                near = at + np.flatnonzero(apart(w, p, slice(at, at + BLOCK)) <= NEAR)
+                if len(near):
+                    one = near[np.unique(group[near], return_index=True)[1]]
+                    found(np.full(len(one), m[p]), m[one])
+    join()
+    return label
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -213,8 +233,40 @@ def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).where(f"`{key}` is not null").mapInArrow(run, "id long, f0 long, f1 long, f2 long")
 
 
-def _candidates(reps: DataFrame, shards: int) -> DataFrame:
-    """Edges among fingerprints' first documents: keys, packed by shard, go through one shuffle and are compared there."""
+def _plan(reps: DataFrame, parts: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Partitions, and the first shard and the number of shards of each (first segment, codeword), by the numbers of their keys."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, total = golay(), np.zeros(SEGMENTS << 12, np.int64)
+        for batch in batches:
+            fp = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in range(3)], 1)
+            for at in range(0, len(fp), 4096):
+                seg = segments(np.ascontiguousarray(fp[at : at + 4096]))
+                each = [segment_keys(seg[:, i], code) for i in range(SEGMENTS)]
+                for i in {i for i, _ in PAIRS}:
+                    others = sum((each[y] >= 0).sum(1) for x, y in PAIRS if x == i)
+                    r, c = np.nonzero(each[i] >= 0)
+                    total += np.bincount(each[i][r, c] + (i << 12), others[r], len(total)).astype(np.int64)
+        lead = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(lead), pa.array(total[lead])], ["lead", "n"])
+
+    got = reps.select("f0", "f1", "f2").mapInArrow(count, "lead long, n long").groupBy("lead").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(SEGMENTS << 12, np.int64)
+    n[got["lead"].to_numpy()] = got["n"].to_numpy()
+    parts = max(parts, -(-int(n.sum()) // (SPREAD * AT_ONCE)))
+    most = max(1, min(AT_ONCE, int(n.sum()) // (SPREAD * parts)))
+    many = np.maximum(1, -(-n // most))
+    # leads with few keys share a shard
+    small = np.where(many == 1, n, 0)
+    shared = (np.cumsum(small) - small) // most
+    own = np.where(many > 1, many, 0)
+    first = np.where(many > 1, shared[-1] + 1 + np.cumsum(own) - own, shared)
+    return parts, first, many
+
+
+def _packed(reps: DataFrame, plan: tuple[int, np.ndarray, np.ndarray]) -> DataFrame:
+    """Keys and the fingerprints that they belong to, packed by shard."""
+    parts, start, many = plan
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, lead = golay(), np.array([i for i, _ in PAIRS])
@@ -223,8 +275,11 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
             fp = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (1, 2, 3)], 1)
             for at in range(0, len(ids), 4096):
                 k, r = search_keys(np.ascontiguousarray(fp[at : at + 4096]), code)
-                # keys with one first segment and codeword go together, so that a document's fingerprint goes there once
-                shard = (mix(lead[k >> 24].astype(np.uint64) << np.uint64(12) | (k >> 12 & 4095).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                # keys with one first segment and codeword go together, so that a document's fingerprint goes there once; if they are many, by their hash
+                of = lead[k >> 24] << 12 | (k >> 12 & 4095)
+                shard = start[of]
+                hot = np.flatnonzero(many[of] > 1)
+                shard[hot] += (mix(k[hot].astype(np.uint64)) % many[of[hot]].astype(np.uint64)).astype(np.int64)
                 order = np.lexsort((k, shard))
                 k, r, shard = k[order], r[order], shard[order]
                 begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(k) else np.zeros(0, np.int64)
@@ -239,35 +294,45 @@ def _candidates(reps: DataFrame, shards: int) -> DataFrame:
                 of_documents = [pa.array([f(x[b:e]) for b, e in zip(first, np.append(first[1:], len(sent)))], pa.binary()) for f, x in ((planes, i), (lambda x: x.tobytes(), w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
                 yield pa.RecordBatch.from_arrays([pa.array(shard[begin]), *of_keys, *of_documents], ["shard", "k", "own", "i", "w"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[list[bytes]] = [[], [], [], []]
-        for batch in batches:
-            for x, c in zip(got, (1, 2, 3, 4)):
-                x += batch.column(c).to_pylist()
-        if not got[0]:
-            return
+    # the columns lie in one file per task: spread the key work over all cores
+    return reps.select("id", "f0", "f1", "f2").repartition(parts).mapInArrow(emit, "shard long, k binary, own binary, i binary, w binary")
+
+
+def _candidates(reps: DataFrame) -> DataFrame:
+    """Edges among fingerprints' first documents: keys, packed by shard, go through one shuffle and are compared there, one shard at a time."""
+    plan = _plan(reps, max(8, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+    def edges(rows: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
+        got = list(zip(*rows))
         k = np.concatenate([np.cumsum(whole(x, np.int32), dtype=np.int32) for x in got[0]])
         before = np.cumsum([0] + [len(x) // 8 for x in got[2]])
         own = np.concatenate([whole(x, np.uint16) + b for x, b in zip(got[1], before)])
         i = np.concatenate([whole(x, np.int64) for x in got[2]])
         w = np.zeros((len(i), 24), np.uint8)
         w[:, :23] = np.frombuffer(b"".join(got[3]), np.uint8).reshape(-1, 23)
-        got.clear()
-        w = w.view(_WORD)
         order = np.argsort(k, kind="stable")
         k = k[order]
         same = np.zeros(len(k), bool)  # a key with one member needs no comparison
         same[1:] = k[1:] == k[:-1]
         same[:-1] |= same[1:]
-        k, order = k[same], order[same]
-        i, w = i[own[order]], w[own[order]]
-        a, b = near_pairs(k, w)
+        label = joined(k[same], own[order[same]], w.view(_WORD))
+        a = np.flatnonzero(label != np.arange(len(label)))
         if len(a):
-            x, y = _forest(i[a], i[b])
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(i[a]), pa.array(i[label[a]])], ["a", "b"])
 
-    packed = reps.select("id", "f0", "f1", "f2").mapInArrow(emit, "shard long, k binary, own binary, i binary, w binary")
-    return packed.repartition(shards // SPREAD, "shard").mapInArrow(compare, "a long, b long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for batch in batches:
+            for shard, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at and rows:
+                    yield from edges(rows)
+                    rows = []
+                at = shard
+                rows.append(row)
+        if rows:
+            yield from edges(rows)
+
+    return _packed(reps, plan).repartition(plan[0], "shard").sortWithinPartitions("shard").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,12 +342,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     group. Rows that repeat a key are one document. Equal fingerprints (exact copies among them) need no search.
     """
     integer_key(docs, key)
-    spark = docs.sparkSession
-    shards = SPREAD * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     members = written(_members(docs, key, text), "fingerprints")
     reps = written(members.groupBy("f0", "f1", "f2").agg(F.min("id").alias("id")), "fingerprint-first")
-    # the columns lie in one file per task: spread the key work over all cores
-    edges = _candidates(reps.repartition(shards // SPREAD), shards)
+    edges = _candidates(reps)
     equal = members.join(reps.withColumnRenamed("id", "b"), ["f0", "f1", "f2"]).where("id <> b").select(F.col("id").alias("a"), "b")
     found = components(edges.unionByName(equal))
     return found.select(F.col("node").alias(key), F.col("root").alias("duplicate_of"))

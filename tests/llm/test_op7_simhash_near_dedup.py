@@ -1,7 +1,9 @@
 """Near duplicates by SimHash: recall of the search at its threshold, and the groups, against brute force."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from lexspark.llm import simhash
 from lexspark.llm.simhash import BITS, NEAR, apart, fingerprints, golay, near_duplicates, search_keys
 from lexspark.llm.textnp import utf8
 
@@ -33,3 +35,20 @@ def test_groups_as_by_brute_force(spark):
     want = set(zip(ids[root != ids].tolist(), root[root != ids].tolist()))
     got = {(r["doc_id"], r["duplicate_of"]) for r in near_duplicates(docs).collect()}
     assert want and len({x for x, _ in want} & {x for x, _ in got}) >= 0.9 * len(want) and {x for x, _ in got} <= {x for x, _ in want}
+
+
+def test_a_hot_key_is_compared_in_shards_of_bounded_size(spark):
+    random = np.random.default_rng(2)
+    fp = np.zeros((9000, 24), np.uint8)
+    fp[:, :23] = random.integers(0, 256, (9000, 23))
+    fp[:, :6] = 0  # two segments that all share: one key, and leads, with every document
+    for i in range(0, 600, 2):
+        fp[i + 1] = fp[i]
+        for bit in random.choice(np.arange(48, BITS), 30, replace=False):
+            fp[i + 1, bit // 8] ^= 128 >> bit % 8
+    w = fp.view(np.int64)
+    reps = spark.createDataFrame([(i, *map(int, x)) for i, x in enumerate(w)], "id long, f0 long, f1 long, f2 long")
+    shards = simhash._packed(reps, simhash._plan(reps, 1)).groupBy("shard").agg(F.sum(F.length("k") / 4).alias("n"))
+    assert shards.agg(F.max("n")).first()[0] <= 2 * simhash.AT_ONCE
+    got = {(max(r), min(r)) for r in simhash._candidates(reps).collect()}
+    assert got == {(i + 1, i) for i in range(0, 600, 2)}
