@@ -97,3 +97,11 @@ def test_odd_rows_and_an_empty_table(spark):
                 assert out.columns == table.columns
             docs = spark.createDataFrame(got, out.schema)
         assert bool(got) == (table is odd)
+
+
+def test_near_dedup_in_many_small_shards_is_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = rows(C.near_dedup(spark, docs, SF))
+    monkeypatch.setattr(simhash, "AT_ONCE", 40)
+    monkeypatch.setattr(simhash, "SPREAD", 64)
+    assert rows(C.near_dedup(spark, docs, SF)) == want and len(want) < docs.count()
