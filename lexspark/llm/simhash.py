@@ -30,8 +30,10 @@ NEAR = 33
 ALL_PAIRS = 4096
 #: Keys of a shard, about, and near pairs that are kept before they are joined: what a task holds at once, whatever the input and the number of partitions.
 AT_ONCE, PENDING = 200_000, 500_000
-#: Shards of keys for each shuffle partition, so that hashing them to partitions evens out.
-SPREAD = 8
+#: Shards of keys for each shuffle partition; they are dealt out evenly, and a partition goes to Python as one Arrow batch, so this bounds what JVM and Python hold of it.
+SPREAD = 2
+#: Bytes of text and then tokens that are hashed at once (numpy takes some 50 times those bytes), and shards that are sent to the JVM at once.
+TEXT, TOKENS, SENT = 1 << 20, 1 << 13, 512
 #: Members that one member of a large key is compared with at once.
 BLOCK = 1 << 17
 
@@ -55,13 +57,13 @@ def fingerprints(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     at = np.flatnonzero(new)
     h, row, weight = h[at], row[at], (1 + np.log(np.diff(np.append(at, len(h))))).astype(np.float32)
     total = np.zeros((n, BITS), np.float32)
-    for i in range(0, len(h), 1 << 16):
-        part, r = h[i : i + (1 << 16)], row[i : i + (1 << 16)]
+    for i in range(0, len(h), TOKENS):
+        part, r = h[i : i + TOKENS], row[i : i + TOKENS]
         words = np.stack([mix(part + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for j in range(3)], 1)
         bits = np.unpackbits(words.view(np.uint8), axis=1, count=BITS).astype(np.float32)
         bits *= 2
         bits -= 1
-        bits *= weight[i : i + (1 << 16), None]
+        bits *= weight[i : i + TOKENS, None]
         begin = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
         total[r[begin]] += np.add.reduceat(bits, begin, axis=0)
     out = np.zeros((n, 24), np.uint8)
@@ -221,14 +223,18 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[root[own]]
 
 
+def _hashed(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    for part in pieces(batch, text, TEXT):
+        fp, any_ = fingerprints(*utf8(part.column(1)))
+        good = pa.array(any_)
+        cols = [part.column(0).cast(pa.int64()).filter(good)] + [pa.array(fp[any_, i].view(np.int64)) for i in range(3)]
+        yield pa.RecordBatch.from_arrays(cols, ["id", "f0", "f1", "f2"])
+
+
 def _members(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text):
-                fp, any_ = fingerprints(*utf8(part.column(1)))
-                good = pa.array(any_)
-                cols = [part.column(0).cast(pa.int64()).filter(good)] + [pa.array(fp[any_, i].view(np.int64)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays(cols, ["id", "f0", "f1", "f2"])
+            yield from _hashed(batch, text)
 
     return docs.select(key, text).where(f"`{key}` is not null").mapInArrow(run, "id long, f0 long, f1 long, f2 long")
 
@@ -288,21 +294,30 @@ def _packed(reps: DataFrame, plan: tuple[int, np.ndarray, np.ndarray]) -> DataFr
                 first = np.searchsorted(sent >> 12, shard[begin])
                 own = (nth - np.repeat(first, ends - begin)).astype(np.uint16)
                 w, i = fp[at : at + 4096][sent & 4095], ids[at : at + 4096][sent & 4095]
+                last = np.append(first[1:], len(sent))
                 # keys as differences, and bytes of equal weight together: the shuffle's compression then finds the zeros
                 difference = lambda x: planes(np.diff(x, prepend=x.dtype.type(0)))
-                of_keys = [pa.array([f(x[b:e]) for b, e in zip(begin, ends)], pa.binary()) for f, x in ((difference, k), (planes, own))]
-                of_documents = [pa.array([f(x[b:e]) for b, e in zip(first, np.append(first[1:], len(sent)))], pa.binary()) for f, x in ((planes, i), (lambda x: x.tobytes(), w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[begin]), *of_keys, *of_documents], ["shard", "k", "own", "i", "w"])
+                for c in range(0, len(begin), SENT):
+                    some = slice(c, c + SENT)
+                    of_keys = [pa.array([f(x[b:e]) for b, e in zip(begin[some], ends[some])], pa.binary()) for f, x in ((difference, k), (planes, own))]
+                    of_documents = [pa.array([f(x[b:e]) for b, e in zip(first[some], last[some])], pa.binary()) for f, x in ((planes, i), (lambda x: x.tobytes(), w.view(np.uint8).reshape(len(w), 24)[:, :23]))]
+                    yield pa.RecordBatch.from_arrays([pa.array(shard[begin[some]]), *of_keys, *of_documents], ["shard", "k", "own", "i", "w"])
 
     # the columns lie in one file per task: spread the key work over all cores
-    return reps.select("id", "f0", "f1", "f2").repartition(parts).mapInArrow(emit, "shard long, k binary, own binary, i binary, w binary")
+    spread = max(8, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return reps.select("id", "f0", "f1", "f2").repartition(spread).mapInArrow(emit, "shard long, k binary, own binary, i binary, w binary")
+
+
+def _dealt(packed: DataFrame, parts: int) -> DataFrame:
+    """The packed keys in partitions that each hold the same number of shards, one shard after another."""
+    return packed.repartitionById(parts, F.expr(f"int(shard % {parts})")).sortWithinPartitions("shard")
 
 
 def _candidates(reps: DataFrame) -> DataFrame:
     """Edges among fingerprints' first documents: keys, packed by shard, go through one shuffle and are compared there, one shard at a time."""
     plan = _plan(reps, max(8, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-    def edges(rows: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
+    def edges(rows: list[tuple[pa.Buffer, ...]]) -> Iterator[pa.RecordBatch]:
         got = list(zip(*rows))
         k = np.concatenate([np.cumsum(whole(x, np.int32), dtype=np.int32) for x in got[0]])
         before = np.cumsum([0] + [len(x) // 8 for x in got[2]])
@@ -323,16 +338,17 @@ def _candidates(reps: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
         for batch in batches:
-            for shard, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            # views of the batch, no copies: what is copied is one shard
+            for r, shard in enumerate(batch.column(0).to_pylist()):
                 if shard != at and rows:
                     yield from edges(rows)
                     rows = []
                 at = shard
-                rows.append(row)
+                rows.append(tuple(c[r].as_buffer() for c in batch.columns[1:]))
         if rows:
             yield from edges(rows)
 
-    return _packed(reps, plan).repartition(plan[0], "shard").sortWithinPartitions("shard").mapInArrow(compare, "a long, b long")
+    return _dealt(_packed(reps, plan), plan[0]).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,9 @@
 """Near duplicates by SimHash: recall of the search at its threshold, and the groups, against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexspark.llm import simhash
@@ -52,3 +55,25 @@ def test_a_hot_key_is_compared_in_shards_of_bounded_size(spark):
     assert shards.agg(F.max("n")).first()[0] <= 2 * simhash.AT_ONCE
     got = {(max(r), min(r)) for r in simhash._candidates(reps).collect()}
     assert got == {(i + 1, i) for i in range(0, 600, 2)}
+
+
+def test_partitions_hold_equally_many_shards(spark, monkeypatch):
+    # hashed to partitions, some would hold several times SPREAD shards
+    monkeypatch.setattr(simhash, "AT_ONCE", 2000)
+    random = np.random.default_rng(4)
+    w = random.integers(-(1 << 62), 1 << 62, (2000, 3))
+    w[:, 2] &= ~0xFF
+    reps = spark.createDataFrame([(i, *map(int, x)) for i, x in enumerate(w)], "id long, f0 long, f1 long, f2 long")
+    plan = simhash._plan(reps, 1)
+    of = simhash._dealt(simhash._packed(reps, plan), plan[0]).groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("shard").alias("shards"), F.sum(F.length("k") / 4).alias("n")).collect()
+    assert plan[0] > 20 and max(r["shards"] for r in of) <= 2 * simhash.SPREAD and max(r["n"] for r in of) <= 3 * simhash.SPREAD * simhash.AT_ONCE
+
+
+def test_hashing_holds_little_at_once():
+    text = " ".join(f"word{i}" for i in range(1000))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(1000)), "t": [text] * 1000})
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in simhash._hashed(batch, "t"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 100e6  # 28 MB when measured; in pieces of 4 MB and 65,536 tokens 143 MB
