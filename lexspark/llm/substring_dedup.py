@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexspark.llm.storage import integer_key
 from lexspark.llm.textnp import SPACE, mix, pieces, powers, span_hashes, spans, utf8
@@ -14,7 +15,9 @@ from lexspark.llm.textnp import SPACE, mix, pieces, powers, span_hashes, spans,
 #: Tokens of a window: a passage of at least so many that comes twice is found.
 WINDOW = 50
 #: Windows that a task gathers before it sends them.
-GATHER = 2_000_000
+GATHER = 1_000_000
+#: Bytes of text whose windows a shard has, about, and windows of a packed row at most.
+SHARD, ROW = 6 << 20, 256
 
 _BASE = 0xD6E8FEB86659FD93
 _INV = pow(_BASE, -1, 1 << 64)
@@ -54,13 +57,50 @@ def merge(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
     return doc[at], a[at], far[np.append(at[1:], len(doc)) - 1]
 
 
+def _packed(col: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The column's bytes as binary values that begin at the entries ``at``; they aren't copied."""
+    col = np.ascontiguousarray(col)
+    offs = (np.append(at, len(col)) * col.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offs), pa.py_buffer(col)])
+
+
 def _split(shard: np.ndarray, *cols: np.ndarray):
-    """Rows (shard, bytes of each column's part)."""
+    """Rows (shard, bytes of each column's part), each of ROW entries at most."""
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
-    at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, np.int64)
-    to = np.append(at[1:], len(shard)) if len(at) else at
-    return [pa.array(shard[at], pa.int64())] + [pa.array([c[x:y].tobytes() for x, y in zip(at, to)], pa.binary()) for c in (x[order] for x in cols)]
+    edge = np.append(True, shard[1:] != shard[:-1]) if len(shard) else np.zeros(0, bool)
+    first = np.flatnonzero(edge)
+    nth = np.arange(len(shard)) - np.repeat(first, np.diff(np.append(first, len(shard))))
+    at = np.flatnonzero(nth % ROW == 0)
+    return [pa.array(shard[at], pa.int64())] + [_packed(c[order], at) for c in cols]
+
+
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one shard after another; they come sorted by shard."""
+    at, held = None, []
+    for batch in batches:
+        shard = batch.column(0).to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)) if len(shard) else []
+        for b, e in zip(cuts, cuts[1:]):
+            if held and shard[b] != at:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = shard[b]
+            held.append(batch.slice(b, e - b))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def unpacked(rows: pa.Table, column: int, kind: type) -> np.ndarray:
+    """The numbers of a packed column, row after row; nulls have none."""
+    parts = []
+    for c in rows.column(column).chunks:
+        if c.null_count == len(c):
+            continue
+        offs = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
+        if offs[-1] > offs[0]:
+            parts.append(np.frombuffer(c.buffers()[2], np.uint8)[offs[0] : offs[-1]])
+    return np.concatenate(parts).view(kind) if parts else np.zeros(0, kind)
 
 
 _PACKED = "shard long, kind int, h binary, d binary, a binary, b binary"
@@ -74,20 +114,16 @@ def _row(kind: int, cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([shard, pa.array([kind] * len(shard), pa.int32()), *(none + rest if kind else rest + none)], _NAMES)
 
 
-def joined(found: DataFrame, shards: int, key: str) -> DataFrame:
-    """(key, start, end) from packed intervals (kind 1): brought together by document, and merged."""
+def joined(found: DataFrame, parts: int, key: str) -> DataFrame:
+    """(key, start, end) from packed intervals (kind 1): brought together by document, and merged, a shard at a time."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[], [], []]
-        for batch in batches:
-            for x, c in zip(got, (3, 4, 5)):
-                x += batch.column(c).to_pylist()
-        d, a, b = (np.frombuffer(b"".join(x), t).astype(np.int64) for x, t in zip(got, (np.int64, np.int32, np.int32)))
-        d, a, b = merge(d, a, b)
-        for at in range(0, len(d), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (d, a, b)], [key, "start", "end"])
+        for rows in by_shard(batches):
+            d, a, b = merge(*(unpacked(rows, c, t).astype(np.int64) for c, t in ((3, np.int64), (4, np.int32), (5, np.int32))))
+            for at in range(0, len(d), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (d, a, b)], [key, "start", "end"])
 
-    return found.repartition(shards, "shard").mapInArrow(join, f"`{key}` long, start long, end long")
+    return found.repartitionById(parts, (F.col("shard") % parts).cast("int")).sortWithinPartitions("shard").mapInArrow(join, f"`{key}` long, start long, end long")
 
 
 def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,66 +135,85 @@ def repeated(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", text: st
 
     Windows go once through a shuffle by hash, packed in binary columns (20 bytes a window). A window that comes again
     among those that a task gathers is sent as one entry, however often it comes, so that a passage which very many documents
-    share doesn't pile up in one partition.
+    share doesn't pile up in one partition. A partition comes sorted by shard, and a task holds the windows of one shard at a
+    time; shards grow in number with the text, so their size doesn't depend on ``spark.sql.shuffle.partitions``.
     """
     integer_key(docs, key)
     spark = docs.sparkSession
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def send(h, d, a) -> Iterator[pa.RecordBatch]:
-        h, d, a = np.concatenate(h), np.concatenate(d), np.concatenate(a)
-        order = np.argsort(h, kind="stable")
-        h, d, a = h[order], d[order], a[order]
-        same = h[1:] == h[:-1]
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.where(f"`{key}` is not null").agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # as many to each partition
+    shards = parts * max(1, -(-size // (SHARD * parts)))
+    # intervals are far fewer than windows
+    few = max(parts, shards // 8)
+
+    def send(h: list, d: list, a: list) -> Iterator[pa.RecordBatch]:
+        """Empties the lists."""
+        h1 = np.concatenate(h)
+        h.clear()
+        order = np.argsort(h1, kind="stable")
+        h1 = h1[order]
+        own, at = (np.concatenate(x)[order] for x in (d, a))
+        d.clear()
+        a.clear()
+        same = h1[1:] == h1[:-1]
         again = np.append(False, same) | np.append(same, False)
         lead = np.append(True, ~same)
         # kind 0: hash and place of a window met once, or place -1 for one met more often; kind 1: intervals known to repeat
-        h0, d0, a0 = h[lead], d[lead], np.where(again, -1, a)[lead]
-        yield _row(0, _split((h0 % np.uint64(shards)).astype(np.int64), h0, d0, a0.astype(np.int32)))
+        h0, d0, a0 = h1[lead], own[lead], np.where(again, np.int32(-1), at)[lead]
+        del h1, order
+        yield _row(0, _split((h0 % np.uint64(shards)).astype(np.int64), h0, d0, a0))
+        del h0, d0, a0
         if again.any():
-            d1, a1, b1 = merge(d[again], a[again], a[again] + width)
-            yield _row(1, _split((mix(d1.astype(np.uint64)) % np.uint64(shards)).astype(np.int64), d1, a1.astype(np.int32), b1.astype(np.int32)))
+            yield intervals(own[again], at[again].astype(np.int64))
+
+    def intervals(d: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
+        d, a, b = merge(d, a, a + width)
+        return _row(1, _split((mix(d.astype(np.uint64)) % np.uint64(few)).astype(np.int64), d, a.astype(np.int32), b.astype(np.int32)))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, d, a, n = [], [], [], 0
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, 1 << 20):
                 roll, row, at = windows(*utf8(part.column(1)), width)
                 ids = part.column(0).cast(pa.int64()).to_numpy()
                 h.append(roll)
                 d.append(ids[row])
-                a.append(at)
+                a.append(at.astype(np.int32))
                 n += len(roll)
                 if n >= GATHER:
                     yield from send(h, d, a)
-                    h, d, a, n = [], [], [], 0
+                    n = 0
         if n:
             yield from send(h, d, a)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[], [], []]
-        for batch in batches:
-            first = pa.compute.equal(batch.column(1), 0)
-            yield batch.filter(pa.compute.invert(first))
-            mine = batch.filter(first)
-            for x, c in zip(got, (2, 3, 4)):
-                x += mine.column(c).to_pylist()
-        h, d, a = (np.frombuffer(b"".join(x), t) for x, t in zip(got, (np.uint64, np.int64, np.int32)))
-        got.clear()
-        if not len(h):
-            return
-        order = np.argsort(h)
-        h = h[order]
-        same = h[1:] == h[:-1]
-        hit = order[np.append(False, same) | np.append(same, False)]
-        hit = hit[a[hit] >= 0]
-        if len(hit):
-            d1, a1, b1 = merge(d[hit], a[hit].astype(np.int64), a[hit].astype(np.int64) + width)
-            yield _row(1, _split((mix(d1.astype(np.uint64)) % np.uint64(shards)).astype(np.int64), d1, a1.astype(np.int32), b1.astype(np.int32)))
+        d, a, n = [], [], 0
+        for rows in by_shard(batches):
+            first = pa.compute.equal(rows.column(1), 0)
+            known = rows.filter(pa.compute.invert(first))
+            yield from known.to_batches()
+            mine = rows.filter(first) if known.num_rows else rows
+            h = unpacked(mine, 2, np.uint64)
+            order = np.argsort(h)
+            h = h[order]
+            same = h[1:] == h[:-1]
+            hit = order[np.append(False, same) | np.append(same, False)] if len(h) else order
+            if not len(hit):
+                continue
+            own, at = unpacked(mine, 3, np.int64)[hit], unpacked(mine, 4, np.int32)[hit]
+            d.append(own[at >= 0])
+            a.append(at[at >= 0].astype(np.int64))
+            n += len(d[-1])
+            if n >= GATHER:
+                yield intervals(np.concatenate(d), np.concatenate(a))
+                d, a, n = [], [], 0
+        if n:
+            yield intervals(np.concatenate(d), np.concatenate(a))
 
     packed = docs.select(key, text).where(f"`{key}` is not null").mapInArrow(gather, _PACKED)
-    found = packed.repartition(shards, "shard").mapInArrow(count, _PACKED)
-    return joined(found, shards, key)
+    found = packed.repartitionById(parts, (F.col("shard") % parts).cast("int")).sortWithinPartitions("shard").mapInArrow(count, _PACKED)
+    return joined(found, parts, key)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
