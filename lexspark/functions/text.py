@@ -10,11 +10,20 @@ WS = r"(?U)\s+"
 BLOCK = 256
 
 
+#: What SQL's trim takes off: all separators of the Unicode class Zs.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
 def bound(value: Column, use) -> Column:
     """use(value) with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def trim_spaces(c: Column) -> Column:
+    """Without the spaces of SPACES at its ends; tabs and line ends stay."""
+    return F.trim(c, F.lit(SPACES))
+
+
 def squeeze(c: Column) -> Column:
     """White-space runs become one blank, ends are trimmed; null stays null."""
     return F.trim(F.regexp_replace(c, WS, " "))
