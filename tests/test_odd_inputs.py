@@ -25,3 +25,10 @@ def same(spark, folder, name, table, rows, schema):
 def test_dedupe_hash(spark, tmp_path, rows):
     got, want = same(spark, tmp_path, "dedupe_hash", "documents", rows, "doc_id long, text string")
     assert got == want
+
+
+def test_theme_pages(spark, tmp_path):
+    heads = ["A &amp;&amp", "B &amp;lt;", "C &am", "D & E", "F &ampx;", "G &lt;&gt;&quot;&amp;", "H &lt", "I &copy", "J\ue000&amp"]
+    rows = [(i, f"<html><title>t</title><body class='x&amp'><h1>{h}</h1></body></html>") for i, h in enumerate(heads)]
+    got, want = same(spark, tmp_path, "theme_pages", "pages", rows, "page_id long, html string")
+    assert got == want
