@@ -96,7 +96,7 @@ BROKEN = "concat('<bobl>', p_name, '</bobl> <<b>', p_brand, '</b> <i>>', p_type,
 
 
 def broken(t):
-    return t.part.select("p_partkey", F.expr(BROKEN).alias("txt"))
+    return t.spread("part", "p_partkey").select("p_partkey", F.expr(BROKEN).alias("txt"))
 
 
 def sql_rows(source, key, c):

@@ -21,6 +21,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """The table's rows, dealt to all tasks by the key: a compact table is read by few tasks, which would do all that its rows want."""
+        return self.__getattr__(name).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), key)
+
 
 def widened(df: DataFrame) -> DataFrame:
     """Integers as bigint, so that both engines give one type."""

@@ -32,3 +32,20 @@ def test_theme_pages(spark, tmp_path):
     rows = [(i, f"<html><title>t</title><body class='x&amp'><h1>{h}</h1></body></html>") for i, h in enumerate(heads)]
     got, want = same(spark, tmp_path, "theme_pages", "pages", rows, "page_id long, html string")
     assert got == want
+
+
+def plan(df):
+    """The physical plan, bottom up, an operator a line."""
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()[::-1]
+
+
+DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["malformed_summary"])
+def test_tasks_sort_no_rows(spark, name):
+    """The rows of a compact table are dealt to all tasks, which count them without sorting them."""
+    lines = plan(registered.queries()[name](spark, DIR))
+    assert any("Exchange hashpartitioning(p_partkey" in x for x in lines)
+    counted = next(i for i, x in enumerate(lines) if "HashAggregate(keys=[tag" in x)
+    assert not any("SortAggregate" in x or "Sort [" in x for x in lines[:counted])
