@@ -42,7 +42,7 @@ def plan(df):
 DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["malformed_summary"])
+@pytest.mark.parametrize("name", ["malformed_summary", "repair_stats"])
 def test_tasks_sort_no_rows(spark, name):
     """The rows of a compact table are dealt to all tasks, which count them without sorting them."""
     lines = plan(registered.queries()[name](spark, DIR))
