@@ -71,14 +71,12 @@ def mismatch_cells(df: DataFrame, key: str, columns: list[str], tags: list[str],
 def repair_html(df: DataFrame, columns: list[str], encode: bool = True, anchors: bool = True, balance: bool = True) -> DataFrame:
     """Literal fixes, then bibl balance (each cell by its own counts), then entities for what is no markup, then anchors.
 
-    Raw URLs in brackets become anchors before the encoding, which would otherwise take them for text. Repairing twice changes nothing more.
+    Each step is a select of its own: as one expression, a step would be computed for each place where the next one names it. Raw URLs in brackets become anchors before the encoding, which would otherwise take them for text. Repairing twice changes nothing more.
     """
-    def fix(c):
-        c = M.repair(functools.reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), M.LITERALS, c))
-        c = M.balance_bibl(c) if balance else c
-        c = M.anchor_raw_urls(c) if anchors else c
-        return M.encode_non_html(c, empty_too=True) if encode else c
-    return rewrite(df, columns, fix)
+    def literals(c):
+        return M.repair(functools.reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), M.LITERALS, c))
+    steps = [literals, *[M.balance_bibl] * balance, *[M.anchor_raw_urls] * anchors, *[lambda c: M.encode_non_html(c, empty_too=True)] * encode]
+    return functools.reduce(lambda d, step: rewrite(d, columns, step), steps, df)
 
 
 def unified_report(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ def sql_literals(c):
 
 @query("html_repair", rf"""SELECT p_partkey, {sql_encode('x')} AS txt FROM (SELECT p_partkey, regexp_replace({sql_repair(sql_literals('txt'))}, '<(https?://[^\s>]+)>', '<a href="\1">\1</a>', 'g') AS x FROM (SELECT p_partkey, concat('<bobl>x</bobl> <p<', p_name, '<http://a.b/', p_partkey, '> ', {WRAPPED}) AS txt FROM part))""")
 def html_repair(t):
-    d = t.part.select("p_partkey", F.expr(f"concat('<bobl>x</bobl> <p<', p_name, '<http://a.b/', p_partkey, '> ', {WRAPPED})").alias("txt"))
+    d = t.spread("part", "p_partkey").select("p_partkey", F.expr(f"concat('<bobl>x</bobl> <p<', p_name, '<http://a.b/', p_partkey, '> ', {WRAPPED})").alias("txt"))
     return P.repair_html(d, ["txt"])
 
 

@@ -49,3 +49,10 @@ def test_tasks_sort_no_rows(spark, name):
     assert any("Exchange hashpartitioning(p_partkey" in x for x in lines)
     counted = next(i for i, x in enumerate(lines) if "HashAggregate(keys=[tag" in x)
     assert not any("SortAggregate" in x or "Sort [" in x for x in lines[:counted])
+
+
+def test_html_repair_steps(spark):
+    """The rows of a compact table are dealt to all tasks, and each step of the repair is computed once."""
+    lines = plan(registered.queries()["html_repair"](spark, DIR))
+    assert any("Exchange hashpartitioning(p_partkey" in x for x in lines)
+    assert sum(x.count("<b9bl>") for x in lines) <= 12
