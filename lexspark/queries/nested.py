@@ -77,7 +77,7 @@ RECORD = """concat('{"_page": 1, "Tamil": "', p_name, '", "Tamil meaning": "', C
 
 
 def trees(t):
-    return R.nodes(t.part.select("p_partkey", F.expr(RECORD).alias("record")), "p_partkey", "record")
+    return R.nodes(t.spread("part", "p_partkey").select("p_partkey", F.expr(RECORD).alias("record")), "p_partkey", "record")
 
 
 @query("tree_flatten", """SELECT p_partkey AS root, path, depth, fields, inherited FROM (SELECT p_partkey, '' AS path, 0::BIGINT AS depth, 7::BIGINT AS fields, NULL AS inherited FROM part UNION ALL SELECT p_partkey, '0', 1, 2, p_type FROM part UNION ALL SELECT p_partkey, '1', 1, 2, p_type FROM part UNION ALL SELECT p_partkey, '1.0', 2, 2, p_type FROM part)""")

@@ -56,3 +56,9 @@ def test_html_repair_steps(spark):
     lines = plan(registered.queries()["html_repair"](spark, DIR))
     assert any("Exchange hashpartitioning(p_partkey" in x for x in lines)
     assert sum(x.count("<b9bl>") for x in lines) <= 12
+
+
+def test_heads_reflexes_numbers(spark):
+    """No task numbers all rows of an abbreviation: there are three in this table, however many rows."""
+    numbers = [x for x in plan(registered.queries()["heads_reflexes"](spark, DIR)) if "row_number()" in x]
+    assert numbers and all("__bucket" in x for x in numbers)
